@@ -29,7 +29,7 @@ def segments(lines: DataFrame, gfa_major: int = 1) -> DataFrame:
         length = F.when(good, declared).otherwise(F.raise_error(F.lit("segment length does not match sequence")))
     else:
         seq = F.get(f, F.lit(2))
-        tag = F.get(F.filter(F.slice(f, 4, 2**31 - 1), lambda t: F.startswith(t, F.lit("LN:i:"))), F.lit(0))
+        tag = F.get(F.filter(F.slice(f, F.lit(4), F.greatest(F.size(f) - 3, F.lit(0))), lambda t: F.startswith(t, F.lit("LN:i:"))), F.lit(0))
         length = (
             F.when(seq != "*", F.length(seq))
             .when(tag.isNotNull(), F.substring(tag, 6, 2**31 - 1).cast("long"))

@@ -35,9 +35,16 @@ def _bin(position: Column, level: Column) -> Column:
     return F.call_function("shiftright", position, shift)
 
 
-def _present_levels(df: DataFrame, start: str, end: str) -> list[int]:
-    row = df.agg(F.sort_array(F.collect_set(_level(F.col(start), F.col(end)))).alias("v")).first()
-    return list(row["v"])
+def _profile(left: DataFrame, left_range: tuple[str, str], right: DataFrame, right_range: tuple[str, str]) -> list:
+    """Per side the levels in use (at most LEVELS+1 numbers) and the row count, in one job."""
+    parts = [
+        df.agg(
+            F.lit(i).alias("side"), F.sort_array(F.collect_set(_level(F.col(s), F.col(e)))).alias("levels"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        for i, (df, (s, e)) in enumerate(((left, left_range), (right, right_range)))
+    ]
+    return sorted(parts[0].unionByName(parts[1]).collect())
 
 
 def _spread(df: DataFrame, start: str, end: str, levels: Sequence[int], tag: str) -> DataFrame:
@@ -92,11 +99,13 @@ def interval_join(
     """
     on = list(on)
     (ls, le), (rs, re) = left_range, right_range
-    left_levels, right_levels = _present_levels(left, ls, le), _present_levels(right, rs, re)
+    (_, left_levels, left_n), (_, right_levels, right_n) = _profile(left, left_range, right, right_range)
     keys = [*on, "__level", "__bin"]
     lhs = _spread(left, ls, le, right_levels, "l")
     rhs = _spread(right, rs, re, left_levels, "r")
-    hot = _hot_cells(lhs.select(*keys), rhs.select(*keys), keys, hot_rows)
+    hot = None
+    if max(left_n, right_n) > hot_rows:
+        hot = _hot_cells(lhs.select(*keys), rhs.select(*keys), keys, hot_rows)
     if hot is not None:
         # Row numbers are written out first: a salt must not change when a lost task runs again, and equal rows
         # must still spread over the salts.

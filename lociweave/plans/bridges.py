@@ -5,12 +5,13 @@ Each projection keeps every row of its tables, so the work of a query grows with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys as k
 from ..operators import graph as g
 from ..operators import overlap as ov
+from ..operators.scan import ordered_scan
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -149,7 +150,7 @@ def doc_nodes(docs: DataFrame) -> DataFrame:
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of a type as one-dimensional sites at their second."""
     c = F.col
-    at = F.floor(F.unix_micros("ts") / 1000000).cast("long")
+    at = F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").cast("long")
     return table(spark, sf_dir, "events").select(
         c("event_type").alias("chrom"), at.alias("start1"), (at + c("user_id") % 30).cast("long").alias("end1"),
         c("event_id").alias("ordinal"), F.when(c("value") > 20, "sv_only").otherwise("hal_only").alias("source"),
@@ -232,21 +233,6 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def path_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as P records over their parts: order, token text and overlap text (an order has few lines)."""
-    c = F.col
-    token = F.concat(c("l_partkey").cast("string"), F.when(c("l_returnflag") == "R", "-").otherwise("+"))
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", token.alias("t")).distinct()
-    grouped = rows.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "t"))).alias("a"))
-    n = F.size("a")
-    zero = F.array_join(F.array_repeat(F.lit("0M"), F.greatest(n - 1, F.lit(0))), ",")
-    overlaps = F.when(c("l_orderkey") % 4 == 0, "*").when(c("l_orderkey") % 4 == 1, F.concat(zero, F.lit(",1M"))).otherwise(zero)
-    return grouped.select(
-        "l_orderkey", F.array_join(F.transform("a", lambda x: x["t"]), ",").alias("tokens"), overlaps.alias("overlaps"),
-        n.cast("long").alias("n"),
-    )
-
-
 def order_edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple[str, ...]]:
     """Steps of each order as a short walk, for links between consecutive parts."""
     steps = table(spark, sf_dir, "lineitem").select(
@@ -260,11 +246,10 @@ def model_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as source models: the first half of the lines is the left context, the rest the right context."""
     c = F.col
     rows = table(spark, sf_dir, "lineitem").select(*WALK_ORDER).distinct()
-    by_order = Window.partitionBy("l_orderkey")
-    pos = F.row_number().over(by_order.orderBy(*WALK_ORDER[1:])) - 1
-    n = F.count(F.lit(1)).over(by_order)
+    ranked = ordered_scan(rows, ["l_orderkey"], WALK_ORDER[1:], {"pos": ("count", None)})
+    sizes = rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     half = F.floor(c("n") / 2)
-    placed = rows.withColumn("pos", pos).withColumn("n", n)
+    placed = ranked.join(sizes, "l_orderkey").withColumn("pos", c("pos") - 1)
     side = F.when(c("pos") < half, "left").otherwise("right")
     return placed.join(nodes(spark, sf_dir), c("l_partkey") == c("segment")).select(
         F.concat(F.lit("o"), c("l_orderkey").cast("string")).alias("locus_id"),
