@@ -155,11 +155,7 @@ def kmers(seq: Column, k: int) -> Column:
     return (
         F.when(seq.isNull() | (n == 0), F.array().cast("array<string>"))
         .when(n < k, F.array(seq))
-        .otherwise(
-            F.array_distinct(
-                F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.substr(seq, i, F.lit(k)))
-            )
-        )
+        .otherwise(F.array_distinct(F.regexp_extract_all(seq, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))))
     )
 
 
