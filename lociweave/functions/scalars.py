@@ -159,24 +159,29 @@ def kmers(seq: Column, k: int) -> Column:
     )
 
 
+def bind(value: Column, fn) -> Column:
+    """`fn` of a value that is computed once, also when `fn` uses it inside further lambdas."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def spaced_shingles(tokens: Column, k: int, limit: int) -> Column:
     """Windows of k tokens joined by `|`; more than `limit` are thinned to evenly spaced positions (half-even)."""
-    n = F.size(tokens)
-    width = F.least(F.lit(k), n)
 
-    def window(i: Column) -> Column:
-        return F.array_join(F.slice(tokens, i + 1, width), "|")
-
-    last = (n - width).cast("double")
-    spaced = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(limit - 1)),
-            lambda i: F.bround(i * last / F.lit(limit - 1)).cast("int"),
+    def build(t: Column) -> Column:
+        n = F.size(t)
+        width = F.least(F.lit(k), n)
+        last = (n - width).cast("double")
+        spaced = F.array_distinct(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(limit - 1)), lambda i: F.bround(i * last / F.lit(limit - 1)).cast("int")
+            )
         )
-    )
-    every = F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
-    picks = F.when(n - width + 1 > limit, spaced).otherwise(every)
-    return F.when(n == 0, F.array().cast("array<string>")).otherwise(F.transform(picks, window))
+        every = F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
+        picks = F.when(n - width + 1 > limit, spaced).otherwise(every)
+        shingles = F.transform(picks, lambda i: F.array_join(F.slice(t, i + 1, width), "|"))
+        return F.when(n == 0, F.array().cast("array<string>")).otherwise(shingles)
+
+    return bind(tokens, build)
 
 
 def end_anchors(tokens: Column, k: int) -> tuple[Column, Column]:

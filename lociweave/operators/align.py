@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..config import AlleleRules
 from ..functions.keys import _reject
@@ -65,6 +66,8 @@ def sequence_identity(a: str, b: str, rules: AlleleRules = AlleleRules()) -> flo
         raise ValueError("missing sequence")
     if a == b:
         return 1.0
+    # Equal-score alignments can differ in identity by argument order, so the order is fixed.
+    a, b = min(a, b), max(a, b)
     if max(len(a), len(b)) >= rules.long_bp > 0:
         matches, columns = alignment_counts(a, b, 0, -4, 8, 2, False)
     else:
@@ -73,7 +76,7 @@ def sequence_identity(a: str, b: str, rules: AlleleRules = AlleleRules()) -> flo
 
 
 def identity_udf(rules: AlleleRules = AlleleRules()):
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def identity(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([sequence_identity(p, q, rules) for p, q in zip(a, b, strict=True)], dtype="float64")
 
@@ -93,7 +96,7 @@ def parse_cigar(cigar: Column) -> Column:
     return _reject(clean, ops, "invalid edit string")
 
 
-@F.pandas_udf("struct<matches:bigint,columns:bigint>")
+@F.pandas_udf(StructType([StructField("matches", LongType()), StructField("columns", LongType())]))
 def replay_cigar(a: pd.Series, b: pd.Series, cigar: pd.Series) -> pd.DataFrame:
     """Replay an edit string on both sequences; it must fit them exactly."""
 

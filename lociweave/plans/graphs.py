@@ -228,9 +228,17 @@ def node_occurrences(spark, d):
     return joined.groupBy("model").agg(F.count(F.lit(1)).alias("occurrences"), F.countDistinct("path_id").alias("contigs"))
 
 
-@query("c25_exact_runs", f"WITH {RUNS} SELECT * FROM pn")
+@query("c25_exact_runs", f"""
+WITH {RUNS}
+SELECT model, side, chrom, direction, count(*) AS runs, CAST(sum(support_bp) AS BIGINT) AS support_bp, CAST(sum(target_start0) AS BIGINT) AS start_sum, CAST(sum(target_end0) AS BIGINT) AS end_sum,
+       CAST(sum(source_start_bp) AS BIGINT) AS source_sum, min(ord_start) AS first_ord, max(ord_end) AS last_ord, max(placement_n) AS most_placed, CAST(max(source_hi - source_lo) AS BIGINT) AS longest FROM pn GROUP BY 1, 2, 3, 4""")
 def exact_runs(spark, d):
-    return runs(spark, d).drop("locus_id", "genome")
+    c = F.col
+    return runs(spark, d).groupBy("model", "side", "chrom", "direction").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("support_bp").alias("support_bp"), F.sum("target_start0").alias("start_sum"), F.sum("target_end0").alias("end_sum"),
+        F.sum("source_start_bp").alias("source_sum"), F.min("ord_start").alias("first_ord"), F.max("ord_end").alias("last_ord"),
+        F.max("placement_n").alias("most_placed"), F.max(c("source_hi") - c("source_lo")).alias("longest"),
+    )
 
 
 @query("p57_run_anchors", f"""
@@ -238,6 +246,10 @@ WITH {RUNS}, w AS (SELECT *, CAST(unnest([100, 1000, 10000]) AS INTEGER) AS win
 a AS (SELECT model, win AS "window", side, chrom AS contig, direction, placement_n AS multiplicity, source_start_bp AS ss, source_end_bp AS se,
              greatest(CASE WHEN side = 'left' THEN -win ELSE 0 END, source_start_bp) AS s0, least(CASE WHEN side = 'left' THEN 0 ELSE win END, source_end_bp) AS s1,
              CASE WHEN direction = 1 THEN target_start0 ELSE -target_end0 END AS t0, CASE WHEN direction = 1 THEN target_end0 ELSE -target_start0 END AS t1 FROM w)
-SELECT DISTINCT model, "window", side, contig, direction, multiplicity, s0, s1, t0 + s0 - ss AS t0, t1 - (se - s1) AS t1 FROM a WHERE s1 > s0""")
+, u AS (SELECT DISTINCT model, "window", side, contig, direction, multiplicity, s0, s1, t0 + s0 - ss AS t0, t1 - (se - s1) AS t1 FROM a WHERE s1 > s0)
+SELECT model, "window", side, direction, count(*) AS anchors, CAST(sum(s0) AS BIGINT) AS s0, CAST(sum(s1) AS BIGINT) AS s1, CAST(sum(t0) AS BIGINT) AS t0, CAST(sum(t1) AS BIGINT) AS t1, max(multiplicity) AS most FROM u GROUP BY 1, 2, 3, 4""")
 def run_anchors(spark, d):
-    return gt.run_anchors(runs(spark, d), (100, 1000, 10000)).drop("locus_id", "genome")
+    anchors = gt.run_anchors(runs(spark, d), (100, 1000, 10000))
+    return anchors.groupBy("model", "window", "side", "direction").agg(
+        F.count(F.lit(1)).alias("anchors"), *[F.sum(n).alias(n) for n in ("s0", "s1", "t0", "t1")], F.max("multiplicity").alias("most")
+    )
