@@ -23,10 +23,9 @@ def bed_violations(bed: DataFrame, lengths: DataFrame) -> DataFrame:
     for n in whole[1:]:
         bad_int = bad_int | ~k.is_whole_number(c(n))
     known = bed.join(lengths.select("contig", c("sequence_length").alias("__len")), "contig", "left")
-    typed = known.filter(~bad_int).select(
-        "contig", "start0", "end0", "__len", c("pct_cpg").alias("t_cpg"), c("pct_gc").alias("t_gc"),
-        c("start0").cast("long").alias("s"), c("end0").cast("long").alias("e"), c("length").cast("long").alias("n"),
-        c("cpg_n").cast("long").alias("cpg"), c("gc_n").cast("long").alias("gc"),
+    typed = known.select(
+        "contig", "start0", "end0", "__len", bad_int.alias("bad_int"), c("pct_cpg").alias("t_cpg"), c("pct_gc").alias("t_gc"),
+        *[c(n).try_cast("long").alias(m) for n, m in zip(whole, ("s", "e", "n", "cpg", "gc"), strict=True)],
         c("pct_cpg").try_cast("double").alias("p1"), c("pct_gc").try_cast("double").alias("p2"), c("oe").try_cast("double").alias("p3"),
     )
     span = (c("s") < c("e")) & (c("e") <= F.coalesce("__len", c("e"))) & (c("n") == c("e") - c("s"))
@@ -41,13 +40,17 @@ def bed_violations(bed: DataFrame, lengths: DataFrame) -> DataFrame:
         return F.abs(value - target) > slack
 
     wrong = off(c("p1"), c("t_cpg"), F.try_divide(200 * c("cpg"), c("n"))) | off(c("p2"), c("t_gc"), F.try_divide(100 * c("gc"), c("n")))
+    good = ~c("bad_int")
+    rows = r.row_checks(typed, subject, [
+        (c("__len").isNull(), "unknown_sequence"),
+        (c("bad_int"), "not_a_whole_number"),
+        (good & ~span, "bad_span"),
+        (good & ~counts, "bad_counts"),
+        (good & ~finite, "bad_metric"),
+        (good & span & counts & finite & wrong, "percentage_contradicts_counts"),
+    ])
     return r.all_of([
-        r.where(known, c("__len").isNull(), "unknown_sequence", subject),
-        r.where(known, bad_int, "not_a_whole_number", subject),
-        r.where(typed, ~span, "bad_span", subject),
-        r.where(typed, ~counts, "bad_counts", subject),
-        r.where(typed, ~finite, "bad_metric", subject),
-        r.where(typed, span & counts & finite & wrong, "percentage_contradicts_counts", subject),
+        rows,
         r.duplicates(bed, ["contig", "start0", "end0"], "duplicate_interval"),
     ])
 
@@ -64,19 +67,19 @@ def event_violations(events: DataFrame, lengths: DataFrame, reference_lengths: D
         bad_int = bad_int | ~k.is_whole_number(c(n))
     p, e, s, t = (c(n).try_cast("long") for n in numbers)
     ins, dele = c("sv_type") == "INS", c("sv_type") == "DEL"
-    subject = c("sv_id")
-    return r.all_of([
-        r.where(joined, c("sv_id") == "", "empty_id", subject),
-        r.duplicates(events, ["sv_id"], "duplicate_id"),
-        r.where(joined, ~(ins | dele), "unsupported_type", subject),
-        r.where(joined, (ins | dele) & ~k.is_signed_length(c("sv_length"), c("sv_type")), "length_contradicts_type", subject),
-        r.where(joined, c("__al").isNull() | c("__rl").isNull(), "undeclared_sequence", subject),
-        r.where(joined, bad_int, "not_a_whole_number", subject),
-        r.where(joined, ~((p >= 1) & (p <= e) & (e <= c("__rl"))), "bad_reference_position", subject),
-        r.where(joined, ~((s <= t) & (t <= c("__al"))), "bad_assembly_interval", subject),
-        r.where(joined, ins & ~((p == e) & (s < t)), "bad_insertion_geometry", subject),
-        r.where(joined, dele & ~((p < e) & (s == t)), "bad_deletion_geometry", subject),
+    known_type = ins | dele
+    rows = r.row_checks(joined, c("sv_id"), [
+        (c("sv_id") == "", "empty_id"),
+        (~known_type, "unsupported_type"),
+        (known_type & ~k.is_signed_length(c("sv_length"), c("sv_type")), "length_contradicts_type"),
+        (c("__al").isNull() | c("__rl").isNull(), "undeclared_sequence"),
+        (bad_int, "not_a_whole_number"),
+        (~((p >= 1) & (p <= e) & (e <= c("__rl"))), "bad_reference_position"),
+        (~((s <= t) & (t <= c("__al"))), "bad_assembly_interval"),
+        (ins & ~((p == e) & (s < t)), "bad_insertion_geometry"),
+        (dele & ~((p < e) & (s == t)), "bad_deletion_geometry"),
     ])
+    return r.all_of([rows, r.duplicates(events, ["sv_id"], "duplicate_id")])
 
 
 def role_violations(genomes: DataFrame) -> DataFrame:

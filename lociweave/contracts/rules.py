@@ -49,6 +49,19 @@ def where(df: DataFrame, test: Column, rule: str, subject: Column, detail: Colum
     return violation(df.filter(F.coalesce(test, F.lit(False))), rule, subject, detail)
 
 
+def row_checks(df: DataFrame, subject: Column, tests: Sequence[tuple]) -> DataFrame:
+    """Row rules (test, rule) or (test, rule, detail), all evaluated in one scan."""
+    found = [
+        F.when(
+            F.coalesce(t[0], F.lit(False)),
+            F.struct(F.lit(t[1]).alias("rule"), (t[2] if len(t) > 2 else F.lit("")).cast("string").alias("detail")),
+        )
+        for t in tests
+    ]
+    hits = df.select(subject.cast("string").alias("subject"), F.explode(F.array_compact(F.array(*found))).alias("x"))
+    return hits.select("x.rule", "subject", "x.detail")
+
+
 def cell_problem(value: Column, kind: str, nullable: bool = False, unit: str = "", allowed: Sequence[str] | None = None) -> Column:
     """Name of the rule a text cell breaks, or null."""
     blank = value == ""

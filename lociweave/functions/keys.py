@@ -84,7 +84,6 @@ def _json_ascii(text: Column) -> Column:
             .when(ch == "\f", F.lit("\\f"))
             .when(code < 32, hex4(code))
             .when(code < 127, ch)
-            .when(code == 127, ch)
             .when(code < 0x10000, hex4(code))
             .otherwise(F.concat(hex4(high), hex4(low)))
         )

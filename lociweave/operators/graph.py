@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as k
 from ..functions import scalars as sc
+from ..session import materialize
 from .interval_join import interval_join
 from .scan import global_rank, ordered_scan, top_per_key
 
@@ -193,6 +194,7 @@ def map_features(features: DataFrame, walk: DataFrame, flank_bp: int, flank_max_
     c = F.col
     wide = features.select("contig", "fid", "lo", "hi", (c("lo") - flank_bp).alias("wide_lo"), (c("hi") + flank_bp).alias("wide_hi"))
     pairs = interval_join(wide, walk, ["contig"], ("wide_lo", "wide_hi"), ("start0", "end0"))
+    pairs = materialize(pairs, "mapped")
     body = pairs.filter((c("start0") < c("hi")) & (c("lo") < c("end0"))).select(
         "fid", F.lit("body").alias("side"), "ordinal", "node", "rev", "start0", "end0",
         F.greatest("lo", "start0").alias("a"), F.least("hi", "end0").alias("b"),

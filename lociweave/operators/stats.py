@@ -89,7 +89,7 @@ def call_statistics(matrix: DataFrame, roles: DataFrame, key: str) -> DataFrame:
     """Frequencies over sample genomes from a long matrix (key, genome, gt) and roles (genome, role)."""
     samples = roles.filter("role = 'sample'").select("genome")
     n_samples = samples.count()
-    counted = matrix.join(F.broadcast(roles), "genome").groupBy(key).agg(
+    counted = matrix.join(roles, "genome").groupBy(key).agg(
         F.count_if((F.col("role") == "sample") & (F.col("gt") == "1")).alias("ac"),
         F.count_if((F.col("role") == "sample") & (F.col("gt") != "NA")).alias("n_called"),
     )
@@ -104,7 +104,7 @@ def call_statistics(matrix: DataFrame, roles: DataFrame, key: str) -> DataFrame:
 
 def call_counts(matrix: DataFrame, roles: DataFrame, key: str) -> DataFrame:
     """Counts of 1, 0, NA and callable cells among assemblies and among all genomes."""
-    joined = matrix.join(F.broadcast(roles), "genome")
+    joined = matrix.join(roles, "genome")
     aggs: list[Column] = []
     for scope, inside in (("asm", F.col("role") == "sample"), ("total", F.lit(True))):
         aggs.append(F.count_if(inside & (F.col("gt") != "NA")).alias(f"callable_{scope}_n"))
@@ -233,3 +233,20 @@ def bounded_groups(members: DataFrame, key: str, limit: int) -> DataFrame:
     return sizes.withColumn(
         "n", F.when(F.col("n") <= limit, F.col("n")).otherwise(F.raise_error(F.lit("group exceeds its limit")).cast("long"))
     )
+
+
+def merged_table(alleles: DataFrame, loci: DataFrame, allele_calls: DataFrame, locus_calls: DataFrame, matrix: DataFrame,
+                 genomes: Sequence[str], total_assemblies: int) -> DataFrame:
+    """Wide allele table: allele and locus counts, call counts of both levels and one genotype column per genome.
+
+    alleles, loci: catalogue rows by allele_id and locus_id; *_calls: `call_counts`; matrix: long allele genotypes.
+    """
+    locus = loci.select("locus_id", *[F.col(c).alias(f"locus_{c}") for c in loci.columns if c != "locus_id"])
+    per_allele = allele_calls.select("allele_id", *[F.col(c).alias(f"allele_{c}") for c in allele_calls.columns if c != "allele_id"])
+    per_locus = locus_calls.select("locus_id", *[F.col(c).alias(f"locus_{c}") for c in locus_calls.columns if c != "locus_id"])
+    wide = genotype_matrix(matrix, "allele_id", genomes)
+    freq = F.try_divide(F.col("asm_hap_n"), F.lit(total_assemblies))
+    return (
+        alleles.withColumn("allele_freq", freq).join(locus, "locus_id").join(per_locus, "locus_id")
+        .join(per_allele, "allele_id").join(wide, "allele_id")
+    )

@@ -295,3 +295,34 @@ def source_models(spark, d):
         "locus_id", "allele_id", F.when(shared, F.concat(F.lit("r"), c("locus_id").cast("string"))).otherwise(c("allele_id")).alias("rep_fid")
     )
     return m.source_models(loci, reps)
+
+
+MATRIX_COLUMNS = ", ".join(f"max(CASE WHEN genome = 'NATION_{i}' THEN gt END) AS NATION_{i}" for i in range(25))
+
+
+@query("j12_merged_alleles", f"""
+WITH {ALLELES}, {CELLS},
+ob AS (SELECT DISTINCT l_partkey AS locus_id, l_partkey || '_' || l_returnflag AS allele_id, 'NATION_' || s_nationkey AS genome FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 25),
+al AS (SELECT a.locus_id, a.allele_id, c.genome, c.role, CASE WHEN ob.allele_id IS NOT NULL THEN '1' WHEN gt = 'NA' THEN 'NA' ELSE '0' END AS gt
+       FROM ac a JOIN cell c ON a.locus_id = c.locus_id LEFT JOIN ob ON ob.allele_id = a.allele_id AND ob.genome = c.genome),
+lc AS (SELECT locus_id, count(*) AS locus_member_n, count(DISTINCT label) AS locus_hap_n FROM mem GROUP BY 1),
+k1 AS (SELECT allele_id, count(*) FILTER (role = 'sample' AND gt <> 'NA') AS allele_callable_asm_n, count(*) FILTER (gt = '1') AS allele_gt_1_total_n FROM al GROUP BY 1),
+k2 AS (SELECT locus_id, count(*) FILTER (role = 'sample' AND gt <> 'NA') AS locus_callable_asm_n, count(*) FILTER (gt = '1') AS locus_gt_1_total_n FROM cell GROUP BY 1),
+pv AS (SELECT allele_id, {MATRIX_COLUMNS} FROM al GROUP BY allele_id)
+SELECT mj.locus_id, member_n, major_allele, asm_hap_n / 23 AS allele_freq, locus_member_n, locus_hap_n, allele_callable_asm_n, allele_gt_1_total_n, locus_callable_asm_n, locus_gt_1_total_n, pv.*
+FROM mj JOIN lc ON lc.locus_id = mj.locus_id JOIN k1 ON k1.allele_id = mj.allele_id JOIN k2 ON k2.locus_id = mj.locus_id JOIN pv ON pv.allele_id = mj.allele_id""")
+def merged_alleles(spark, d):
+    c = F.col
+    names = [r[0] for r in b.table(spark, d, "nation").select("n_name").orderBy("n_nationkey").collect()]
+    roles = b.roles(spark, d)
+    members = b.locus_members(spark, d)
+    per_label = members.groupBy("locus_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    loci = per_label.groupBy("locus_id").agg(F.sum("n").alias("member_n"), F.count(F.lit(1)).alias("hap_n"))
+    calls = propagated_genotypes(spark, d)
+    out = s.merged_table(
+        allele_catalogue(spark, d), loci, s.call_counts(calls, roles, "allele_id"), s.call_counts(b.cells(spark, d), roles, "locus_id"), calls, names, 23
+    )
+    return out.select(
+        "locus_id", "member_n", "major_allele", "allele_freq", "locus_member_n", "locus_hap_n", "allele_callable_asm_n", "allele_gt_1_total_n",
+        "locus_callable_asm_n", "locus_gt_1_total_n", "allele_id", *[c(n) for n in names],
+    )

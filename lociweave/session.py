@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,7 +29,7 @@ def get_spark(app: str = "lociweave", master: str | None = None, **conf: str) ->
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: `spark.checkpoint.dir`, else (local runs only) a temporary folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -35,6 +37,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = getattr(scratch_root, "_local", None)
     if root is None:
         root = tempfile.mkdtemp(prefix="lociweave-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         scratch_root._local = root
     return root
 
