@@ -134,13 +134,13 @@ def event_violations(spark, d):
         F.when(c("o_custkey") % 23 == 0, "0").when(dele, "-5").otherwise("9").alias("sv_length"),
     )
     lengths = b.table(spark, d, "supplier").select(b.text("s_suppkey % 10").alias("contig")).distinct().withColumn("sequence_length", F.lit(10**12))
-    refs = lengths.limit(1).select(F.lit("chr1").alias("contig"), "sequence_length")
+    refs = lengths.select(F.lit("chr1").alias("contig"), "sequence_length").distinct()
     return ic.event_violations(events, lengths, refs).groupBy("rule", "subject").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("j13_mapping_candidates", """
 WITH s AS (SELECT source AS g, lang AS q, count(*) AS n FROM documents GROUP BY 1, 2),
-w AS (SELECT source AS g, lang AS q, doc_id FROM documents WHERE doc_id % 4 = 0),
+w AS (SELECT source AS g, lang AS q, doc_id FROM documents WHERE n_chars > 2500),
 c AS (SELECT g, q, count(*) AS n, min('W' || doc_id) AS o FROM w GROUP BY 1, 2)
 SELECT s.g AS hal_genome, s.q AS hal_sequence, coalesce(c.n, 0) AS candidate_count,
        CASE WHEN c.n IS NULL THEN 'no_exact_literal_match' WHEN c.n = 1 THEN 'exact_literal_candidate' ELSE 'multiple_exact_literal_matches' END AS candidate_status,
@@ -148,7 +148,7 @@ SELECT s.g AS hal_genome, s.q AS hal_sequence, coalesce(c.n, 0) AS candidate_cou
 def mapping_candidates(spark, d):
     docs = b.table(spark, d, "documents")
     sequences = docs.select(F.col("source").alias("hal_genome"), F.col("lang").alias("hal_sequence")).distinct()
-    inventory = docs.filter("doc_id % 4 = 0").select(
+    inventory = docs.filter("n_chars > 2500").select(
         F.lit("W").alias("record_type"), F.col("source").alias("w_sample_id"), F.col("lang").alias("sequence_id"), F.lit("").alias("raw_path_name"),
         F.concat(F.lit("W"), F.col("doc_id").cast("string")).alias("gfa_path_id"),
     )
@@ -185,17 +185,15 @@ def renamed_inputs(spark, d):
 
 
 @query("v10_path_totals", """
-WITH t AS (SELECT l_suppkey, CAST(sum(p_size) AS BIGINT) AS span FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_suppkey % 9 <> 1 GROUP BY 1),
-e AS (SELECT s_suppkey, 15000 AS n FROM supplier WHERE s_suppkey % 7 <> 2)
-SELECT rule, subject FROM (SELECT 'unexpected_path' AS rule, CAST(l_suppkey AS VARCHAR) AS subject FROM t WHERE l_suppkey NOT IN (SELECT s_suppkey FROM e)
-  UNION ALL SELECT 'missing_path', CAST(s_suppkey AS VARCHAR) FROM e WHERE s_suppkey NOT IN (SELECT l_suppkey FROM t)
-  UNION ALL SELECT 'span_mismatch', CAST(l_suppkey AS VARCHAR) FROM t JOIN e ON l_suppkey = s_suppkey WHERE span <> n)""")
+WITH t AS (SELECT o_custkey AS k, CAST(sum(o_orderkey) AS BIGINT) AS span FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1), e AS (SELECT c_custkey AS k, c_custkey * 10 AS n FROM customer WHERE c_acctbal > 0)
+SELECT rule, subject FROM (SELECT 'unexpected_path' AS rule, CAST(k AS VARCHAR) AS subject FROM t WHERE k NOT IN (SELECT k FROM e)
+  UNION ALL SELECT 'missing_path', CAST(k AS VARCHAR) FROM e WHERE k NOT IN (SELECT k FROM t)
+  UNION ALL SELECT 'span_mismatch', CAST(t.k AS VARCHAR) FROM t JOIN e ON t.k = e.k WHERE span <> n)""")
 def path_total_violations(spark, d):
     c = F.col
-    totals = b.table(spark, d, "lineitem").filter("l_suppkey % 9 <> 1").join(b.table(spark, d, "part"), c("l_partkey") == c("p_partkey")).groupBy(
-        c("l_suppkey").alias("path_id")
-    ).agg(F.sum(c("p_size").cast("long")).alias("span_bp")).withColumn("end0", c("span_bp"))
-    expected = b.table(spark, d, "supplier").filter("s_suppkey % 7 <> 2").select(c("s_suppkey").alias("path_id"), F.lit(15000).cast("long").alias("length_bp"))
+    urgent = b.table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'")
+    totals = urgent.groupBy(c("o_custkey").alias("path_id")).agg(F.sum("o_orderkey").alias("span_bp")).withColumn("end0", c("span_bp"))
+    expected = b.table(spark, d, "customer").filter("c_acctbal > 0").select(c("c_custkey").alias("path_id"), (c("c_custkey") * 10).alias("length_bp"))
     return ic.path_total_violations(totals, expected).select("rule", "subject")
 
 
@@ -262,11 +260,11 @@ def evidence_decisions(spark, d):
 
 
 @query("v17_changed_records", """
-SELECT p_partkey AS ordinal, CASE WHEN p_size % 5 = 0 THEN 'missing' ELSE 'changed' END AS problem FROM part WHERE p_size % 5 = 0 OR p_size % 7 = 0""")
+SELECT p_partkey AS ordinal, CASE WHEN p_size <= 10 THEN 'missing' ELSE 'changed' END AS problem FROM part WHERE p_size <= 10 OR p_brand = 'Brand#2'""")
 def changed_records(spark, d):
     part = b.table(spark, d, "part")
     source = part.select(F.col("p_partkey").alias("ordinal"), F.col("p_name").alias("record"))
-    stored = part.filter("p_size % 5 <> 0").select(F.col("p_partkey").alias("ordinal"), F.when(F.col("p_size") % 7 == 0, "x").otherwise(F.col("p_name")).alias("record"))
+    stored = part.filter("p_size > 10").select(F.col("p_partkey").alias("ordinal"), F.when(F.col("p_brand") == "Brand#2", "x").otherwise(F.col("p_name")).alias("record"))
     return rc.changed_records(source, stored)
 
 

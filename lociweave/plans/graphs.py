@@ -74,13 +74,13 @@ def segment_lengths(spark, d):
 
 EDGES = """
 sg AS (SELECT *, CAST(l_partkey AS VARCHAR) AS segment, CASE WHEN l_returnflag = 'R' THEN '-' ELSE '+' END AS sign FROM lineitem),
-eg AS (SELECT l_orderkey, lag(segment) OVER w AS a, lag(sign) OVER w AS sa, segment AS b, sign AS sb FROM sg
+eg AS (SELECT l_orderkey, l_linestatus, lag(segment) OVER w AS a, lag(sign) OVER w AS sa, segment AS b, sign AS sb FROM sg
        WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)),
-ky AS (SELECT l_orderkey, least((a, sa, b, sb), (b, translate(sb, '+-', '-+'), a, translate(sa, '+-', '-+'))) AS k FROM eg WHERE a IS NOT NULL),
-ks AS (SELECT l_orderkey, k[1] AS from_name, k[2] AS from_sign, k[3] AS to_name, k[4] AS to_sign FROM ky)
+ky AS (SELECT l_orderkey, l_linestatus, least((a, sa, b, sb), (b, translate(sb, '+-', '-+'), a, translate(sa, '+-', '-+'))) AS k FROM eg WHERE a IS NOT NULL),
+ks AS (SELECT l_orderkey, l_linestatus, k[1] AS from_name, k[2] AS from_sign, k[3] AS to_name, k[4] AS to_sign FROM ky)
 """
 LINKS = """
-lk AS (SELECT l_orderkey, from_name, from_sign, to_name, to_sign, CASE WHEN l_orderkey % 11 = 0 THEN '5M' ELSE '0M' END AS overlap FROM ks WHERE l_orderkey % 7 <> 0),
+lk AS (SELECT l_orderkey, from_name, from_sign, to_name, to_sign, CASE WHEN l_orderkey % 11 = 0 THEN '5M' ELSE '0M' END AS overlap FROM ks WHERE l_linestatus = 'O'),
 lt AS (SELECT from_name, from_sign, to_name, to_sign, CASE WHEN count(*) <> 1 THEN 'multiple_matching_links' WHEN min(overlap) <> '0M' THEN 'link_overlap_unsupported' ELSE 'zero' END AS status
        FROM lk GROUP BY ALL)
 """
@@ -91,7 +91,7 @@ def _links(spark, d):
     packed = steps.withColumn("me", F.struct("segment", F.when(F.col("rev") == 0, "+").otherwise("-").alias("sign")))
     scanned = ordered_scan(packed, ["l_orderkey"], list(order), {"was": ("lag", "me")}).filter("was is not null")
     key = sc.link_key(F.col("was.segment"), F.col("was.sign"), F.col("me.segment"), F.col("me.sign"))
-    rows = scanned.filter("l_orderkey % 7 <> 0").select(
+    rows = scanned.filter("l_linestatus = 'O'").select(
         key.alias("key"), F.when(F.col("l_orderkey") % 11 == 0, "5M").otherwise("0M").alias("overlap")
     )
     return g.link_table(rows)

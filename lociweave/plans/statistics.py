@@ -8,6 +8,7 @@ from ..functions import scalars as sc
 from ..operators import alleles as al
 from ..operators import models as m
 from ..operators import stats as s
+from ..session import materialize
 from . import bridges as b
 from .registry import query
 
@@ -54,12 +55,12 @@ def genotype_matrix(spark, d):
 
 
 @query("a25_matrix_problems", f"""
-WITH {CELLS}, x AS (SELECT locus_id, count(*) AS n, count(*) FILTER (gt = '1') AS ones FROM cell WHERE NOT (gt = '0' AND locus_id % 3 = 0) GROUP BY 1)
+WITH {CELLS}, x AS (SELECT locus_id, count(*) AS n, count(*) FILTER (gt = '1') AS ones FROM cell WHERE NOT (gt = '0' AND genome = 'NATION_2') GROUP BY 1)
 SELECT coalesce(x.locus_id, i.locus_id) AS locus_id, CASE WHEN i.locus_id IS NULL THEN 'unknown_id' WHEN x.locus_id IS NULL THEN 'missing_id' ELSE 'wrong_genome_set' END AS problem
 FROM x FULL JOIN (SELECT p_partkey AS locus_id FROM part WHERE p_size > 3) i ON x.locus_id = i.locus_id
 WHERE i.locus_id IS NULL OR x.locus_id IS NULL OR n <> (SELECT count(*) FROM nation)""")
 def matrix_problems(spark, d):
-    cells = b.cells(spark, d).filter("not (gt = '0' and locus_id % 3 = 0)")
+    cells = b.cells(spark, d).filter("not (gt = '0' and genome = 'NATION_2')")
     ids = b.table(spark, d, "part").filter("p_size > 3").select(F.col("p_partkey").alias("locus_id"))
     return s.matrix_problems(cells, ids, b.table(spark, d, "nation"), "locus_id")
 
@@ -193,12 +194,12 @@ def locus_composition(spark, d):
 
 
 @query("p64_label_kinds", """
-WITH c AS (SELECT o_clerk AS label, arg_min(kind, o_orderkey) AS kind FROM (SELECT o_orderkey, 'L' || o_custkey % 40 AS o_clerk, o_orderstatus AS kind FROM orders WHERE o_custkey % 3 = 0) GROUP BY 1),
+WITH c AS (SELECT o_clerk AS label, arg_min(kind, o_orderkey) AS kind FROM (SELECT o_orderkey, 'L' || o_custkey % 40 AS o_clerk, o_orderstatus AS kind FROM orders WHERE o_orderpriority = '1-URGENT') GROUP BY 1),
 f AS (SELECT label, arg_min(kind, o_orderkey) AS kind FROM (SELECT o_orderkey, 'L' || o_custkey % 60 AS label, o_orderpriority AS kind FROM orders) GROUP BY 1)
 SELECT coalesce(c.label, f.label) AS label, coalesce(c.kind, f.kind) AS kind FROM c FULL JOIN f ON c.label = f.label""")
 def label_kinds(spark, d):
     orders = b.table(spark, d, "orders")
-    catalogue = orders.filter("o_custkey % 3 = 0").select(
+    catalogue = orders.filter("o_orderpriority = '1-URGENT'").select(
         F.concat(F.lit("L"), b.text("o_custkey % 40")).alias("label"), F.col("o_orderstatus").alias("kind"), F.col("o_orderkey").alias("ordinal")
     )
     feats = orders.select(
@@ -318,7 +319,7 @@ def merged_alleles(spark, d):
     members = b.locus_members(spark, d)
     per_label = members.groupBy("locus_id", "label").agg(F.count(F.lit(1)).alias("n"))
     loci = per_label.groupBy("locus_id").agg(F.sum("n").alias("member_n"), F.count(F.lit(1)).alias("hap_n"))
-    calls = propagated_genotypes(spark, d)
+    calls = materialize(propagated_genotypes(spark, d), "calls")
     out = s.merged_table(
         allele_catalogue(spark, d), loci, s.call_counts(calls, roles, "allele_id"), s.call_counts(b.cells(spark, d), roles, "locus_id"), calls, names, 23
     )
