@@ -191,7 +191,7 @@ def _decide(spark, runs):
         [("L", "g", m, 100, 20000, 20000) for m in sorted({r[0] for r in runs})],
         "locus_id string, genome string, model string, envelope_len long, left_flank_len long, right_flank_len long",
     )
-    chains = gt.chain_anchors(gt.live_anchors(gt.run_anchors(df, rules.windows), rules), rules)
+    chains = gt.chain_anchors(gt.run_anchors(gt.live_runs(df, rules), rules.windows), rules)
     boxes = gt.placements(gt.pair_candidates(chains, models.drop("genome"), rules), [*gt.UNIT, "window"], rules.placement_tolerance)
     return gt.choose_placement(gt.combine_scales(boxes, rules), models, rules.margin)
 
