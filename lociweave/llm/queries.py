@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, simhash_dedup, token_counts, token_file
+from . import byte_bpe, decontamination, line_dedup, simhash_dedup, token_counts, token_file
 from .tables import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
@@ -24,6 +28,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.deduplicate_lines(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "lines_total", "lines_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_file.new_path(spark)
     token_file.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -35,5 +44,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_dedup.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_byte_bpe, op3_token_counts, op8_token_file, op10_simhash_dedup)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_byte_bpe, op3_token_counts, op7_line_dedup, op8_token_file, op10_simhash_dedup)}
+ORACLES: dict[str, str] = {"op1_decontamination": decontamination.ORACLE}
