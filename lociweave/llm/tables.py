@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -36,6 +38,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
                 start, total = row + 1, 0
 
 
+def per_worker(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker makes once and keeps across its tasks (functions travel by value, so their globals do not last)."""
+    kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """Write `df` as a table in the cluster's shared folder and read it back: lineage ends there."""
     spark = df.sparkSession
