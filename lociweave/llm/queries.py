@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, line_dedup, simhash_dedup, token_counts, token_file
-from .tables import read
+from . import byte_bpe, decontamination, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file
+from .tables import read, utf8_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sharding.new_path(spark)
+    sharding.scatter(read(spark, sf_dir, "documents"), path)
+    text = F.coalesce("record.text", F.lit(""))
+    return sharding.shards(spark, path).select(
+        "record.doc_id", (utf8_bytes(text) + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"),
+        "shard", F.col("slot").cast("long"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.deduplicate_lines(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "lines_total", "lines_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
@@ -44,5 +58,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_dedup.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_byte_bpe, op3_token_counts, op7_line_dedup, op8_token_file, op10_simhash_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_byte_bpe, op3_token_counts, op4_quality_rules, op5_sharding, op7_line_dedup, op8_token_file, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {"op1_decontamination": decontamination.ORACLE}
