@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file
+from . import byte_bpe, decontamination, html_text, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file, toxicity
 from .tables import read, utf8_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.deduplicate_lines(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "lines_total", "lines_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
@@ -53,10 +57,18 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.with_starts(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash_dedup.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_decontamination, op2_byte_bpe, op3_token_counts, op4_quality_rules, op5_sharding, op7_line_dedup, op8_token_file, op10_simhash_dedup)}
+ALL = (
+    op1_decontamination, op2_byte_bpe, op3_token_counts, op4_quality_rules, op5_sharding,
+    op6_html_text, op7_line_dedup, op8_token_file, op9_toxicity, op10_simhash_dedup,
+)
+QUERIES: dict[str, Query] = {f.__name__: f for f in ALL}
 ORACLES: dict[str, str] = {"op1_decontamination": decontamination.ORACLE}
