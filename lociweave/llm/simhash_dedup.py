@@ -146,14 +146,31 @@ def near_links(distinct: DataFrame, k: int = 3, joined: int = JOINED) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, k: int = 3, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, fp, component_id (the smallest key that can be reached over links, itself included)."""
+    """doc_id, fp, component_id (the smallest key that can be reached over links, itself included), root (its smallest fingerprint)."""
     marks = stored(fingerprints(docs, width, key, text), "simhash-marks")
     nodes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     linked = stored(components(near_links(nodes, k), "a", "b"), "simhash-roots")
     rooted = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("fp", "component_id"), "simhash-named")
-    return marks.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-named")
+    return marks.join(named, "fp").select("doc_id", "fp", "component_id", "root")
+
+
+def representatives(docs: DataFrame, k: int = 3, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of `docs` per component, with all its columns: the smallest key, nulls last, then the smallest fingerprint."""
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp")
+    groups = near_duplicates(docs, k, width, key, text).groupBy("root").agg(F.min(order).alias("stays"))
+    stays = stored(groups.select(F.col("stays.doc_id").alias("__doc_id"), F.col("stays.fp").alias("__stays")), "simhash-stays")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__fp", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, values in slices(batches, text):
+            fps = np.fromiter((fingerprint(v or "", width) for v in values), np.uint64, len(values)).view(np.int64)
+            yield from rows.append_column("__fp", pa.array(fps)).combine_chunks().to_batches()
+
+    marked = docs.mapInArrow(run, schema)
+    kept = marked.join(stays, (marked["__fp"] == stays["__stays"]) & marked[key].eqNullSafe(stays["__doc_id"]), "left_semi")
+    return kept.dropDuplicates([key, "__fp"]).drop("__fp")
 
 
 def hexadecimal(fp: Column) -> Column:
