@@ -1,9 +1,9 @@
 """Toxicity by a linear classifier over character n-grams, scaled by naive Bayes log-count ratios.
 
 Features are the character n-grams of the lower-cased text (a space at either end), hashed to 2 ** 18 places; a text has a feature or
-not. The log-count ratio of a feature is log((p + 1) / sum(p + 1)) - log((q + 1) / sum(q + 1)), where p and q count the toxic and
-the other training texts that have it. Features that are rare or whose ratio is small say little and are left out. On the rest, a
-logistic regression is fitted whose inputs are the ratios of the features that a text has.
+not. The log-count ratio of a feature is log((p + 0.5) / (P + 1)) - log((q + 0.5) / (Q + 1)), where p of P toxic and q of Q other
+training texts have it. A feature whose ratio is within three standard errors of zero, sqrt(1 / (p + 0.5) + 1 / (q + 0.5)) each, is
+left out. On the rest, a logistic regression is fitted whose inputs are the ratios of the features that a text has.
 
 The counts cover all training rows: every task adds up its own, and sends a row per feature. The regression is fitted, in one task, on
 at most `fit_rows` training texts of each label, those with the smallest hashes of id and text: a documented bound. Scoring is a map
@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 from .tables import slices, stored
 
 BITS, SIZES = 18, (3, 4, 5)
-MIN_RATIO, MIN_TEXTS = 1.5, 5
+#: Standard errors that a log-count ratio must differ from zero by.
+MIN_ERRORS = 3.0
 #: Most training texts of each label that the regression is fitted on.
 FIT_ROWS = 2000
 #: Characters of a text that are hashed at a time; n-grams that cross a cut are hashed too.
@@ -78,11 +79,12 @@ def counts(train: DataFrame) -> DataFrame:
     return train.select("toxic", "text").mapInArrow(run, "place long, p long, q long").groupBy("place").agg(F.sum("p").alias("p"), F.sum("q").alias("q"))
 
 
-def ratios(table: np.ndarray) -> np.ndarray:
-    """Log-count ratio of each place, 0 for those left out. `table` holds p and q per place."""
-    smooth = table + 1.0
-    ratio = np.log(smooth[0] / smooth[0].sum()) - np.log(smooth[1] / smooth[1].sum())
-    return np.where((np.abs(ratio) >= MIN_RATIO) & (table.sum(axis=0) >= MIN_TEXTS), ratio, 0.0)
+def ratios(table: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Log-count ratio of each place, 0 for those left out. `table` holds p and q per place, `total` the numbers of texts."""
+    some = table + 0.5
+    share = some / (total[:, None] + 1.0)
+    ratio = np.log(share[0]) - np.log(share[1])
+    return np.where(np.abs(ratio) >= MIN_ERRORS * np.sqrt((1 / some).sum(axis=0)), ratio, 0.0)
 
 
 def fitted(texts: list[str], toxic: np.ndarray, ratio: np.ndarray, steps: int = 80, rate: float = 0.1, decay: float = 1e-5) -> tuple[np.ndarray, float]:
@@ -126,7 +128,7 @@ def train_model(train: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[np.ndarray,
     if not total.all():
         share = total[0] / total.sum() if total.sum() else 0.5
         return np.zeros(1 << BITS), float(np.clip(np.log(share / (1 - share)) if 0 < share < 1 else 50.0 * (2 * share - 1), -50, 50))
-    ratio = train.sparkSession.sparkContext.broadcast(ratios(table))
+    ratio = train.sparkSession.sparkContext.broadcast(ratios(table, total))
     some = reduce(DataFrame.unionByName, [lowest(train.filter(F.col("toxic") == label), fit_rows) for label in (0, 1)])
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
