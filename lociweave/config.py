@@ -9,7 +9,6 @@ from dataclasses import dataclass
 class FeatureRules:
     min_graph_coverage: float = 0.95
     flank_bp: int = 1000
-    flank_max_steps: int = 32
 
 
 @dataclass(frozen=True)
@@ -47,7 +46,6 @@ class AlleleRules:
     min_len_ratio: float = 0.80
     mode: str = "allpairs_clique"
     representative: str = "asm_seq_medoid"
-    max_medoid_members: int = 0
     match: int = 2
     mismatch: int = -3
     gap_open: int = 5

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import keys as k
 from ..functions import scalars as sc
-from ..session import materialize
 from .interval_join import interval_join
-from .scan import global_rank, ordered_scan, top_per_key
+from .scan import global_rank, ordered_scan
 
+# Fixed values of the path inventory.
 ACCEPTED_STATUS = ["not_applicable", "zero", "zero_verified_from_links", "zero_single_segment", "requires_link_verification"]
 
 
@@ -141,7 +143,8 @@ def inventory(records: DataFrame) -> DataFrame:
 
 def unfold(steps: DataFrame, nodes: DataFrame, path_key: str = "path_id", order: tuple[str, ...] = ("ordinal",)) -> DataFrame:
     """Cumulative offsets of ordered steps (path, order columns, segment, rev) over node lengths."""
-    located = steps.join(nodes, "segment")
+    missing = F.raise_error(F.concat(F.lit("path step names an undefined segment: "), F.col("segment")))
+    located = steps.join(nodes, "segment", "left").withColumn("node", F.coalesce("node", missing.cast(nodes.schema["node"].dataType)))
     placed = ordered_scan(located, [path_key], list(order), {"end0": ("sum", "length"), "step_no": ("count", None)})
     return placed.select(
         path_key, (F.col("step_no") - 1).alias("ordinal"), (F.col("end0") - F.col("length")).alias("start0"), "end0",
@@ -162,6 +165,30 @@ def unknown_segments(steps: DataFrame, nodes: DataFrame) -> DataFrame:
     return steps.join(nodes.select("segment"), "segment", "left_anti")
 
 
+def path_violations(records: DataFrame, nodes: DataFrame, table: DataFrame) -> DataFrame:
+    """gfa_path_id, problem: what keeps a path from being unfolded. An empty table is a pass.
+
+    records: `path_records`; nodes: `number_segments`; table: `link_table`.
+    """
+    c = F.col
+    steps = record_steps(records)
+    found = inventory(records)
+    spans = steps.join(nodes, "segment").groupBy("path_id", "line_no").agg(F.sum("length").alias("bases"))
+    walks = records.filter("record_type = 'W' and start0 is not null and end0 is not null")
+    spans = walks.select(c("gfa_path_id").alias("path_id"), "line_no", (c("end0") - c("start0")).alias("span")).join(spans, ["path_id", "line_no"], "left")
+    unverified = found.filter("overlap_status = 'requires_link_verification'").select(c("gfa_path_id").alias("path_id"))
+    edges = edge_status(steps.join(unverified, "path_id", "left_semi"), table, "path_id", ("line_no", "pos"))
+    problems = [
+        (unknown_segments(steps, nodes).select("path_id"), "undefined_segment"),
+        (fragment_breaks(records).filter("previous_end is not null").select("gfa_path_id"), "fragment_gap"),
+        (records.filter("record_type <> 'W'").groupBy("gfa_path_id").count().filter("count > 1").select("gfa_path_id"), "duplicate_path"),
+        (spans.filter(~c("span").eqNullSafe(c("bases"))).select("path_id"), "span_mismatch"),
+        (found.filter(~c("overlap_status").isin(ACCEPTED_STATUS)).select("gfa_path_id"), "unsupported_overlap"),
+        (edges.filter("status <> 'zero'").select("path_id"), "unverified_link"),
+    ]
+    return reduce(DataFrame.unionByName, [rows.distinct().toDF("gfa_path_id").withColumn("problem", F.lit(name)) for rows, name in problems])
+
+
 def edge_status(steps: DataFrame, table: DataFrame, path_key: str, order: tuple[str, ...]) -> DataFrame:
     """Consecutive steps of each path with the status of the link between them."""
     packed = steps.withColumn("__me", F.struct("segment", F.when(F.col("rev") == 0, "+").otherwise("-").alias("sign")))
@@ -185,37 +212,33 @@ def discontinuities(walk: DataFrame, path_key: str = "path_id") -> DataFrame:
     return scanned.filter((F.col("start0") != expected) | (F.col("end0") <= F.col("start0")))
 
 
-def map_features(features: DataFrame, walk: DataFrame, flank_bp: int, flank_max_steps: int) -> DataFrame:
+def map_features(features: DataFrame, walk: DataFrame, flank_bp: int) -> DataFrame:
     """Steps of each feature and of its flanks, clipped, in node coordinates.
 
     features: contig, fid, lo, hi; walk: contig, ordinal, start0, end0, node, rev.  Output rows carry `side`
-    (body, left, right), the ordinal on the walk, the node range and the bases.
+    (body, left, right), the ordinal on the walk, the node range and the bases.  One shuffle by feature.
     """
     c = F.col
     wide = features.select("contig", "fid", "lo", "hi", (c("lo") - flank_bp).alias("wide_lo"), (c("hi") + flank_bp).alias("wide_hi"))
     pairs = interval_join(wide, walk, ["contig"], ("wide_lo", "wide_hi"), ("start0", "end0"))
-    pairs = materialize(pairs, "mapped")
-    body = pairs.filter((c("start0") < c("hi")) & (c("lo") < c("end0"))).select(
-        "fid", F.lit("body").alias("side"), "ordinal", "node", "rev", "start0", "end0",
-        F.greatest("lo", "start0").alias("a"), F.least("hi", "end0").alias("b"),
-    )
+    own = Window.partitionBy("fid")
+    holds, ends = (c("start0") <= c("lo")) & (c("lo") < c("end0")), (c("start0") < c("hi")) & (c("hi") <= c("end0"))
+    known = pairs.withColumns({"holder0": F.max(F.when(holds, c("start0"))).over(own), "ended": F.max(F.when(ends, 1)).over(own)})
     # The left flank keeps whole rows before the row that holds the feature start while they fit the flank,
     # and at least the nearest one; the cut to the flank length comes after that.
-    holder = pairs.filter((c("start0") <= c("lo")) & (c("lo") < c("end0"))).select("fid", c("start0").alias("holder0"))
-    left = pairs.filter(c("start0") < c("lo")).join(holder, "fid").filter(
-        (c("start0") == c("holder0")) | (c("end0") == c("holder0")) | (c("holder0") - c("start0") <= flank_bp)
-    ).select(
-        "fid", F.lit("left").alias("side"), "ordinal", "node", "rev", "start0", "end0",
-        F.greatest("wide_lo", "start0").alias("a"), F.least("lo", "end0").alias("b"),
+    near = (c("start0") == c("holder0")) | (c("end0") == c("holder0")) | (c("holder0") - c("start0") <= flank_bp)
+
+    def part(side: str, when: Column, a: Column, b: Column) -> Column:
+        return F.when(when & (a < b), F.struct(F.lit(side).alias("side"), a.alias("a"), b.alias("b")))
+
+    parts = F.array(
+        part("body", (c("start0") < c("hi")) & (c("lo") < c("end0")), F.greatest("lo", "start0"), F.least("hi", "end0")),
+        part("left", (c("start0") < c("lo")) & near, F.greatest("wide_lo", "start0"), F.least("lo", "end0")),
+        part("right", (c("end0") > c("hi")) & c("ended").isNotNull(), F.greatest("hi", "start0"), F.least("wide_hi", "end0")),
     )
-    ender = pairs.filter((c("start0") < c("hi")) & (c("hi") <= c("end0"))).select("fid")
-    right = pairs.filter(c("end0") > c("hi")).join(ender, "fid", "left_semi").select(
-        "fid", F.lit("right").alias("side"), "ordinal", "node", "rev", "start0", "end0",
-        F.greatest("hi", "start0").alias("a"), F.least("wide_hi", "end0").alias("b"),
+    steps = known.select("fid", "ordinal", "node", "rev", "start0", "end0", F.explode(F.array_compact(parts)).alias("p")).select(
+        "fid", "ordinal", "node", "rev", "start0", "end0", "p.*"
     )
-    nearest_left = top_per_key(left, ["fid"], [c("ordinal").desc()], flank_max_steps).drop("rank")
-    nearest_right = top_per_key(right, ["fid"], [c("ordinal").asc()], flank_max_steps).drop("rank")
-    steps = body.unionByName(nearest_left).unionByName(nearest_right).filter(c("a") < c("b"))
     local_s = F.when(c("rev") == 0, c("a") - c("start0")).otherwise(c("end0") - c("b"))
     local_e = F.when(c("rev") == 0, c("b") - c("start0")).otherwise(c("end0") - c("a"))
     return steps.select(

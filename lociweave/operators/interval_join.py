@@ -3,7 +3,8 @@
 An interval of length n lives on the smallest level whose bin width is at least n, so it touches at most two bins
 there and at most two on every wider level.  A pair meets on the wider of its two levels only, and there in the bin
 that holds the larger start, so each pair is produced once.  Bins shared by very many rows on either side are cut
-into a grid of salted cells.
+into a grid of salted cells, by a table of their sizes.  Both inputs are evaluated once: they are written with a row
+number, and everything else is read from there.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from ..session import materialize
 BASE_BITS = 8
 STEP_BITS = 3
 LEVELS = 14
-MAX_HOT_CELLS = 100_000
 
 
 def _level(start: Column, end: Column) -> Column:
@@ -35,16 +35,9 @@ def _bin(position: Column, level: Column) -> Column:
     return F.call_function("shiftright", position, shift)
 
 
-def _profile(left: DataFrame, left_range: tuple[str, str], right: DataFrame, right_range: tuple[str, str]) -> list:
-    """Per side the levels in use (at most LEVELS+1 numbers) and the row count, in one job."""
-    parts = [
-        df.agg(
-            F.lit(i).alias("side"), F.sort_array(F.collect_set(_level(F.col(s), F.col(e)))).alias("levels"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        for i, (df, (s, e)) in enumerate(((left, left_range), (right, right_range)))
-    ]
-    return sorted(parts[0].unionByName(parts[1]).collect())
+def _levels(df: DataFrame, start: str, end: str) -> list[int]:
+    """Levels in use: at most LEVELS + 1 numbers."""
+    return sorted(r[0] for r in df.select(_level(F.col(start), F.col(end))).distinct().collect())
 
 
 def _spread(df: DataFrame, start: str, end: str, levels: Sequence[int], tag: str) -> DataFrame:
@@ -62,25 +55,31 @@ def _spread(df: DataFrame, start: str, end: str, levels: Sequence[int], tag: str
 
 
 def _numbered(df: DataFrame) -> DataFrame:
+    # A salt must not change when a lost task runs again, and equal rows must still spread over the salts.
     return materialize(df.withColumn("__row", F.monotonically_increasing_id()), "salted")
 
 
-def _hot_cells(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame | None:
-    """Cells with more than `hot_rows` rows on a side; None when there is none (then the plain join is enough)."""
+def _hot_cells(left: DataFrame, right: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Cells with more than `hot_rows` rows on a side, and into how many parts either side is cut there."""
     counted = [
         side.groupBy(*keys).count().filter(F.col("count") > hot_rows).withColumnRenamed("count", f"__{tag}")
         for tag, side in (("nl", left), ("nr", right))
     ]
-    cells = counted[0].join(counted[1], keys, "full").select(
+    return counted[0].join(counted[1], keys, "full").select(
         *keys,
         F.greatest(F.lit(1), F.ceil(F.coalesce("__nl", F.lit(0)) / hot_rows)).cast("int").alias("__kl"),
         F.greatest(F.lit(1), F.ceil(F.coalesce("__nr", F.lit(0)) / hot_rows)).cast("int").alias("__kr"),
     )
-    found = cells.limit(MAX_HOT_CELLS + 1).count()
-    if found == 0 or found > MAX_HOT_CELLS:
-        # Too many hot cells to broadcast: the adaptive skew join splits them by measured bytes.
-        return None
-    return F.broadcast(cells)
+
+
+def _salted(df: DataFrame, cells: DataFrame, keys: list[str], mine: str, other: str) -> DataFrame:
+    """Rows of a hot cell: each in one part of its own side (`mine`), for every part of the other side."""
+    return (
+        df.join(cells, keys, "left")
+        .withColumn(f"__s{mine}", F.pmod(F.xxhash64("__row"), F.coalesce(f"__k{mine}", F.lit(1))).cast("int"))
+        .withColumn(f"__s{other}", F.explode(F.sequence(F.lit(0), F.coalesce(f"__k{other}", F.lit(1)) - 1)))
+        .drop("__kl", "__kr", "__row")
+    )
 
 
 def interval_join(
@@ -99,31 +98,14 @@ def interval_join(
     """
     on = list(on)
     (ls, le), (rs, re) = left_range, right_range
-    (_, left_levels, left_n), (_, right_levels, right_n) = _profile(left, left_range, right, right_range)
+    columns = [c for c in left.columns if c not in on], [c for c in right.columns if c not in on]
+    left, right = _numbered(left), _numbered(right)
     keys = [*on, "__level", "__bin"]
-    lhs = _spread(left, ls, le, right_levels, "l")
-    rhs = _spread(right, rs, re, left_levels, "r")
-    hot = None
-    if max(left_n, right_n) > hot_rows:
-        hot = _hot_cells(lhs.select(*keys), rhs.select(*keys), keys, hot_rows)
-    if hot is not None:
-        # Row numbers are written out first: a salt must not change when a lost task runs again, and equal rows
-        # must still spread over the salts.
-        lhs = (
-            _spread(_numbered(left), ls, le, right_levels, "l")
-            .join(hot, keys, "left")
-            .withColumn("__sl", F.pmod(F.xxhash64("__row"), F.coalesce("__kl", F.lit(1))).cast("int"))
-            .withColumn("__sr", F.explode(F.sequence(F.lit(0), F.coalesce("__kr", F.lit(1)) - 1)))
-            .drop("__kl", "__kr", "__row")
-        )
-        rhs = (
-            _spread(_numbered(right), rs, re, left_levels, "r")
-            .join(hot, keys, "left")
-            .withColumn("__sr", F.pmod(F.xxhash64("__row"), F.coalesce("__kr", F.lit(1))).cast("int"))
-            .withColumn("__sl", F.explode(F.sequence(F.lit(0), F.coalesce("__kl", F.lit(1)) - 1)))
-            .drop("__kl", "__kr", "__row")
-        )
-        keys = [*keys, "__sl", "__sr"]
+    lhs = _spread(left, ls, le, _levels(right, rs, re), "l")
+    rhs = _spread(right, rs, re, _levels(left, ls, le), "r")
+    cells = _hot_cells(lhs, rhs, keys, hot_rows)
+    lhs, rhs = _salted(lhs, cells, keys, "l", "r"), _salted(rhs, cells, keys, "r", "l")
+    keys = [*keys, "__sl", "__sr"]
     meets = F.col("__level") == F.greatest("__own_l", "__own_r")
     once = F.col("__bin") == _bin(F.greatest(F.col(ls), F.col(rs)), F.col("__level"))
     if predicate is None:
@@ -131,5 +113,5 @@ def interval_join(
     return (
         lhs.join(rhs, keys, "inner")
         .filter(meets & once & predicate)
-        .select(*on, *[c for c in left.columns if c not in on], *[c for c in right.columns if c not in on])
+        .select(*on, *columns[0], *columns[1])
     )

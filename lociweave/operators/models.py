@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .interval_join import interval_join
 from .scan import ordered_scan
 
@@ -55,6 +56,7 @@ def model_context(models: DataFrame, walks: DataFrame, context_bp: int) -> DataF
     ).filter("lo < hi")
     pairs = interval_join(spans, walks, ["genome", "contig"], ("lo", "hi"), ("start0", "end0"))
     a, b = F.greatest("lo", "start0"), F.least("hi", "end0")
+    pairs = materialize(pairs, "context")
     first = pairs.groupBy("locus_id", "model", "side").agg(F.min("ordinal").alias("__first"))
     return pairs.join(first, ["locus_id", "model", "side"]).select(
         "locus_id", "model", "side", (c("ordinal") - c("__first")).alias("idx"), "node", "rev",

@@ -76,18 +76,13 @@ def with_event_summary(features: DataFrame, summary: DataFrame, keys: Sequence[s
     )
 
 
-def fold_pairs(pairs: DataFrame, keys: Sequence[str] = ("fid",), limit: int = 100_000) -> DataFrame:
+def fold_pairs(pairs: DataFrame, keys: Sequence[str] = ("fid",)) -> DataFrame:
     """Semicolon-joined detail columns per feature, best first.
 
-    The text of one feature is one cell, so a feature with more than `limit` events is an error, never a shorter list;
-    the counts are combined before the shuffle.
+    The text of one feature is one cell of an output file; `event_pairs` has the same rows in long form.
     """
     c = F.col
     keys = list(keys)
-    size = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    checked = size.withColumn(
-        "__n", F.when(c("__n") <= limit, c("__n")).otherwise(F.raise_error(F.lit("feature has too many events to fold")))
-    )
     detail = F.struct(
         (-c("overlap_bp")).alias("k1"),
         (-F.abs("sv_len")).alias("k2"),
@@ -95,7 +90,7 @@ def fold_pairs(pairs: DataFrame, keys: Sequence[str] = ("fid",), limit: int = 10
         c("sv_id"), c("sv_type"), c("class"), c("chrom"), c("pos1"), c("ref_end1"), c("sv_start"), c("sv_end"),
         c("overlap_bp"), c("fraction_feature"), c("fraction_sv"),
     )
-    grouped = pairs.join(checked, keys).groupBy(*keys).agg(F.array_sort(F.collect_list(detail)).alias("d"))
+    grouped = pairs.groupBy(*keys).agg(F.array_sort(F.collect_list(detail)).alias("d"))
 
     def text(fn) -> Column:
         return F.array_join(F.transform("d", fn), ";")

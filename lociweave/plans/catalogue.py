@@ -62,11 +62,15 @@ def _kind(role: Column) -> Column:
 
 
 def walks_from_graph(lines: DataFrame, paths: DataFrame) -> DataFrame:
-    """Walks of the assigned graph paths (gfa_path_id, genome, contig); one job per graph."""
+    """Walks of the assigned graph paths (gfa_path_id, genome, contig); one job per graph. A path that breaks a rule is an error."""
     segs = g.segments(lines)
     dense = g.segment_statistics(segs).first()["dense_numeric"]
     nodes = materialize(g.number_segments(segs, dense), "nodes")
-    records = g.path_records(lines).join(paths, "gfa_path_id")
+    records = materialize(g.path_records(lines).join(paths.select("gfa_path_id"), "gfa_path_id", "left_semi"), "records")
+    absent = paths.join(records, "gfa_path_id", "left_anti").select("gfa_path_id", F.lit("missing_path").alias("problem"))
+    broken = g.path_violations(records, nodes, g.link_table(g.links(lines))).unionByName(absent).orderBy("gfa_path_id", "problem").limit(10).collect()
+    if broken:
+        raise ValueError("paths cannot be unfolded: " + ", ".join(f"{r.gfa_path_id} ({r.problem})" for r in broken))
     unfolded = g.unfold(g.record_steps(records), nodes, "path_id", ("line_no", "pos"))
     return unfolded.join(paths.withColumnRenamed("gfa_path_id", "path_id"), "path_id").drop("path_id")
 
@@ -84,7 +88,7 @@ def build_features(x: Inputs, rules: Rules = Rules()) -> tuple[DataFrame, DataFr
     members = materialize(ranked, "members")
     spans = members.select(c("place").alias("contig"), "fid", c("start0").alias("lo"), c("end0").alias("hi"))
     walk = x.walks.select(F.concat_ws("#", "genome", F.lit("0"), "contig").alias("contig"), "ordinal", "start0", "end0", "node", "rev")
-    steps = materialize(g.map_features(spans, walk, rules.feature.flank_bp, rules.feature.flank_max_steps), "steps")
+    steps = materialize(g.map_features(spans, walk, rules.feature.flank_bp), "steps")
     mapped = g.mapping_summary(spans, steps)
 
     located = members.filter("kind = 'assembly'").select(c("place").alias("contig"), "fid", "start0", "end0")

@@ -155,20 +155,20 @@ wf AS (SELECT CAST(o_custkey % 10 AS VARCHAR) AS contig, 'o' || o_orderkey AS fi
 wr AS (SELECT fid, lo, hi, w.* FROM wf JOIN wk w ON contig = path_id AND start0 < hi + 1000 AND lo - 1000 < end0),
 hd AS (SELECT fid, start0 AS h0 FROM wr WHERE start0 <= lo AND lo < end0),
 en AS (SELECT DISTINCT fid FROM wr WHERE start0 < hi AND hi <= end0),
-sd AS (SELECT fid, 'body' AS side, ordinal, node, rev, start0, end0, greatest(lo, start0) AS a, least(hi, end0) AS b, 0 AS rk FROM wr WHERE start0 < hi AND lo < end0
-       UNION ALL SELECT fid, 'left', ordinal, node, rev, start0, end0, greatest(lo - 1000, start0), least(lo, end0), row_number() OVER (PARTITION BY fid ORDER BY ordinal DESC)
+sd AS (SELECT fid, 'body' AS side, ordinal, node, rev, start0, end0, greatest(lo, start0) AS a, least(hi, end0) AS b FROM wr WHERE start0 < hi AND lo < end0
+       UNION ALL SELECT fid, 'left', ordinal, node, rev, start0, end0, greatest(lo - 1000, start0), least(lo, end0)
          FROM wr JOIN hd USING (fid) WHERE start0 < lo AND (start0 = h0 OR end0 = h0 OR h0 - start0 <= 1000)
-       UNION ALL SELECT fid, 'right', ordinal, node, rev, start0, end0, greatest(hi, start0), least(hi + 1000, end0), row_number() OVER (PARTITION BY fid ORDER BY ordinal)
+       UNION ALL SELECT fid, 'right', ordinal, node, rev, start0, end0, greatest(hi, start0), least(hi + 1000, end0)
          FROM wr JOIN en USING (fid) WHERE end0 > hi),
 sp AS (SELECT fid, side, ordinal, node, rev, CASE WHEN rev = 0 THEN a - start0 ELSE end0 - b END AS s, CASE WHEN rev = 0 THEN b - start0 ELSE end0 - a END AS e, b - a AS bp
-       FROM sd WHERE a < b AND rk <= 32)
+       FROM sd WHERE a < b)
 """
 
 
 def _mapped(spark, d):
     rules = FeatureRules()
     walk = b.walks(spark, d).withColumnRenamed("path_id", "contig")
-    return g.map_features(b.walk_features(spark, d), walk, rules.flank_bp, rules.flank_max_steps)
+    return g.map_features(b.walk_features(spark, d), walk, rules.flank_bp)
 
 
 @query("j03_mapped_steps", f"WITH {MAPPED} SELECT fid, side, ordinal, node, CAST(rev AS BIGINT) AS rev, s, e, bp FROM sp")

@@ -418,7 +418,8 @@ def shared_bases(spark, d):
 
 @query("s25_extract_intervals", """
 WITH d AS (SELECT doc_id, replace(text, chr(10), '') AS t FROM documents),
-i AS (SELECT o_orderkey, o_custkey % (SELECT count(*) FROM documents) AS doc_id, o_orderkey % 300 AS lo, o_orderkey % 300 + 1 + o_custkey % 90 AS hi FROM orders)
+n AS (SELECT o_orderkey, o_custkey, o_custkey % (SELECT count(*) FROM documents) AS doc_id, (o_orderkey * 7919) % 20000 AS pos0 FROM orders),
+i AS (SELECT o_orderkey, doc_id, pos0 % greatest(1, length(t)) AS lo, pos0 % greatest(1, length(t)) + 1 + o_custkey % 90 AS hi FROM n JOIN d USING (doc_id))
 SELECT o_orderkey, substr(t, lo + 1, hi - lo) AS sequence, CAST(greatest(0, least(length(t), hi) - lo) AS BIGINT) AS observed_bp,
        greatest(0, least(length(t), hi) - lo) = hi - lo AS complete FROM i JOIN d USING (doc_id)""")
 def extract_intervals(spark, d):
@@ -433,8 +434,12 @@ def extract_intervals(spark, d):
     total = docs.count()
     wanted = b.table(spark, d, "orders").select(
         c("o_orderkey").cast("string").alias("fid"), (c("o_custkey") % total).cast("string").alias("name"),
-        (c("o_orderkey") % 300).alias("lo"), (c("o_orderkey") % 300 + 1 + c("o_custkey") % 90).alias("hi"),
+        (c("o_orderkey") * 7919 % 20000).alias("at"), "o_custkey",
     )
+    # Starts are spread over the whole text.
+    sizes = docs.select(c("doc_id").cast("string").alias("name"), F.greatest(F.lit(1), F.length(F.replace("text", F.lit("\n"), F.lit("")))).alias("size"))
+    lo = c("at") % c("size")
+    wanted = wanted.join(sizes, "name").select("fid", "name", lo.alias("lo"), (lo + 1 + c("o_custkey") % 90).alias("hi"))
     out = src.extract_intervals(chunks, wanted)
     return out.select(
         c("fid").cast("long").alias("o_orderkey"), "sequence", "observed_bp", (c("observed_bp") == c("hi") - c("lo")).alias("complete")

@@ -47,8 +47,11 @@ def call_counts(spark, d):
     return s.call_counts(b.cells(spark, d), b.roles(spark, d), "locus_id")
 
 
+MATRIX_COLUMNS = ", ".join(f"max(CASE WHEN genome = 'NATION_{i}' THEN gt END) AS NATION_{i}" for i in range(25))
+
+
 @query("a15_genotype_matrix", f"""
-WITH {CELLS} SELECT * FROM (PIVOT (SELECT locus_id, genome, gt FROM cell) ON genome USING first(gt) GROUP BY locus_id)""")
+WITH {CELLS} SELECT locus_id, {MATRIX_COLUMNS} FROM cell GROUP BY locus_id""")
 def genotype_matrix(spark, d):
     names = [r[0] for r in b.table(spark, d, "nation").select("n_name").orderBy("n_nationkey").collect()]
     return s.genotype_matrix(b.cells(spark, d), "locus_id", names)
@@ -298,9 +301,6 @@ def source_models(spark, d):
     return m.source_models(loci, reps)
 
 
-MATRIX_COLUMNS = ", ".join(f"max(CASE WHEN genome = 'NATION_{i}' THEN gt END) AS NATION_{i}" for i in range(25))
-
-
 @query("j12_merged_alleles", f"""
 WITH {ALLELES}, {CELLS},
 ob AS (SELECT DISTINCT l_partkey AS locus_id, l_partkey || '_' || l_returnflag AS allele_id, 'NATION_' || s_nationkey AS genome FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 25),
