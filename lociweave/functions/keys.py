@@ -39,6 +39,14 @@ def parse_feature_key(key: Column) -> Column:
     return _reject(is_feature_key(key), parsed, "cannot parse feature key")
 
 
+def key_order(key: Column) -> Column:
+    """What feature keys are ordered by: sample, haplotype, contig, start, end, then the key itself."""
+    p = parse_feature_key(key)
+    names = [F.coalesce(p[n], F.lit("")).alias(n) for n in ("sample", "hap", "contig")]
+    ends = [F.coalesce(p[n], F.lit(0)).cast("long").alias(n) for n in ("start0", "end0")]
+    return F.struct(*names, *ends, key.alias("key"))
+
+
 def key_length(key: Column) -> Column:
     parsed = parse_feature_key(key)
     return F.greatest(F.lit(0), parsed["end0"] - parsed["start0"])

@@ -149,6 +149,16 @@ def overlap_status(overlaps: Column, segment_n: Column) -> Column:
     )
 
 
+def compact_ranges(ranges: Column) -> Column:
+    """`node:start-end` of an array of structs (node, s, e), joined by commas."""
+    return F.array_join(F.transform(ranges, lambda r: F.format_string("%d:%d-%d", r["node"], r["s"], r["e"])), ",")
+
+
+def compact_list(values: Column) -> Column:
+    """Values joined by semicolons, in their order."""
+    return F.array_join(values.cast("array<string>"), ";")
+
+
 def kmers(seq: Column, k: int) -> Column:
     """Distinct k-mers; a shorter non-empty text is its own only k-mer."""
     n = F.length(seq)

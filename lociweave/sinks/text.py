@@ -47,6 +47,27 @@ def write_path_table(walks: DataFrame, path: str) -> None:
     ordered.write.mode("errorifexists").partitionBy("genome", "contig").parquet(path)
 
 
+def path_table_statistics(walks: DataFrame) -> DataFrame:
+    """Rows, span and a digest of the rows per path (genome, contig); the digest does not depend on row order or files."""
+    row = F.xxhash64("ordinal", "start0", "end0", "node", "rev").cast("decimal(38,0)")
+    return walks.groupBy("genome", "contig").agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("start0").alias("start0"), F.max("end0").alias("end0"),
+        F.sha2(F.sum(row).cast("string"), 256).alias("digest"),
+    )
+
+
+def named_bed4(features: DataFrame, names: DataFrame) -> DataFrame:
+    """sequence, start0, end0, fid with the names of another inventory (contig, sequence); a contig without a name is an error."""
+    joined = features.join(names.select("contig", F.col("sequence").alias("__to")), "contig", "left")
+    name = F.coalesce("__to", F.raise_error(F.concat(F.lit("no name for contig "), F.col("contig"))).cast("string"))
+    return joined.select(name.alias("sequence"), "start0", "end0", "fid")
+
+
+def write_bed4(features: DataFrame, names: DataFrame, path: str) -> None:
+    rows = named_bed4(features, names).repartitionByRange("sequence", "start0", "end0").sortWithinPartitions("sequence", "start0", "end0", "fid")
+    rows.select(F.concat_ws("\t", *rows.columns).alias("value")).write.mode("errorifexists").text(path)
+
+
 def table_schema(tables: dict[str, DataFrame], keys: dict[str, list[str]], parents: dict[str, dict[str, str]]) -> str:
     """Columns, types, primary keys and foreign keys of the published tables as JSON."""
     out = {

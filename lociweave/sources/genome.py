@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,16 @@ def read_psl(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_known_psl(spark: SparkSession, path: str, features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Alignments and their number per feature; an id that is no feature is an error."""
+    psl = read_psl(spark, path)
+    unknown = [r.fid for r in unknown_psl_ids(psl, features).orderBy("fid").limit(5).collect()]
+    if unknown:
+        raise ValueError(f"{path}: unknown feature ids {unknown}")
+    counts = features.select("fid").join(psl.groupBy("fid").agg(F.count(F.lit(1)).alias("hit_n")), "fid", "left").na.fill(0, ["hit_n"])
+    return psl, counts
+
+
 def unknown_psl_ids(psl: DataFrame, features: DataFrame) -> DataFrame:
     return psl.select("fid").distinct().join(features.select("fid"), "fid", "left_anti")
 
@@ -100,6 +112,16 @@ def read_fasta_lines(spark: SparkSession, path: str) -> DataFrame:
     return placed.select("name", "line_no", (F.col("end0") - F.col("n")).alias("start0"), "end0", "bases")
 
 
+def read_single_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of a file that must hold one record."""
+    chunks = read_fasta_lines(spark, path)
+    names = [r.name for r in chunks.select("name").distinct().limit(2).collect()]
+    headers = numbered_lines(spark, path, number=False).filter(F.startswith("line", F.lit(">"))).limit(2).count()
+    if len(names) != 1 or headers != 1:
+        raise ValueError(f"{path}: expected exactly one record with bases")
+    return chunks
+
+
 def read_fasta(spark: SparkSession, path: str, full_header: bool = False) -> DataFrame:
     """One row per record (short records: features and alleles), named by the first header word or the full header."""
     chunks = read_fasta_lines(spark, path)
@@ -157,3 +179,40 @@ def genome_inventory(sequences: DataFrame, genomes: DataFrame) -> DataFrame:
         F.coalesce("total_sequence_bp", F.lit(0)).cast("long").alias("total_sequence_bp"),
         F.when(F.col("n_sequences").isNull(), "no_sequences").otherwise("available").alias("sequence_status"),
     )
+
+
+FEATURE_JSON = "fid string, label string, kind string, contig string, start0 long, end0 long, strand string, source_seq_len long, tokens array<string>"
+
+
+def read_feature_json(spark: SparkSession, path: str, schema: str = FEATURE_JSON) -> DataFrame:
+    """Features from JSON lines, plain or compressed; blank lines are no records, malformed ones are an error."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+# Fixed values of the input catalogue.
+CATALOGUE_KINDS = ["reference_primary", "reference_comparison", "assembly"]
+CATALOGUE_REQUIRED = ["label", "kind", "graph_sample", "graph_hap", "hal_genome", "bed", "cpgi_fa", "path_bed_dir"]
+
+
+def catalogue_violations(catalogue: DataFrame) -> DataFrame:
+    """label, problem of catalogue rows: empty required fields (events too for an assembly), unknown kind."""
+    kind = F.col("kind")
+    empty = [F.when(F.trim(c) == "", F.lit(c)) for c in CATALOGUE_REQUIRED]
+    events = F.when((kind == "assembly") & (F.trim("sv_tsv") == ""), F.lit("sv_tsv"))
+    missing = F.array_sort(F.array_compact(F.array(*empty, events)))
+    problems = F.array_compact(
+        F.array(
+            F.when(F.size(missing) > 0, F.concat(F.lit("empty fields: "), F.array_join(missing, ","))),
+            F.when((kind != "") & ~kind.isin(CATALOGUE_KINDS), F.concat(F.lit("unsupported kind: "), kind)),
+        )
+    )
+    return catalogue.select("label", F.explode(problems).alias("problem"))
+
+
+def read_catalogue(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The input catalogue; a row that breaks a rule is an error."""
+    table = read_table(spark, path, columns)
+    broken = catalogue_violations(table).orderBy("label", "problem").limit(5).collect()
+    if broken:
+        raise ValueError(f"{path}: " + ", ".join(f"{r.label or 'unlabelled'} ({r.problem})" for r in broken))
+    return table

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -31,7 +31,8 @@ def _string_schema(columns: Sequence[str]) -> StructType:
 def read_table(spark: SparkSession, path: str, columns: Sequence[str], allow_empty: bool = False) -> DataFrame:
     """Tab-separated text with exactly these columns in this order; every cell stays a string.
 
-    Empty cells are empty strings, and words such as `None`, `null` and `NA` are data.
+    Empty cells are empty strings, and words such as `None`, `null` and `NA` are data. A cell with blanks around it or
+    a NUL in it is an error.
     """
     header = spark.read.text(path).limit(1).first()
     if header is None or header[0].rstrip("\r").split("\t") != list(columns):
@@ -39,7 +40,7 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str], allow_emp
     frame = _read(spark, path, columns)
     if not allow_empty and frame.limit(1).count() == 0:
         raise ValueError(f"{path}: no records")
-    return frame
+    return frame.select(*[_clean(F.col(c), c).alias(c) for c in columns])
 
 
 def read_loose_table(spark: SparkSession, path: str) -> DataFrame:
@@ -70,12 +71,9 @@ def _read(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def bad_cells(table: DataFrame) -> DataFrame:
-    """Cells with surrounding blanks or a NUL, as (column_name, cell)."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("cell")) for c in table.columns])
-    ).alias("x")
-    return table.select(cells).select("x.*").filter((F.trim("cell") != F.col("cell")) | F.contains("cell", F.lit("\0")))
+def _clean(cell: Column, name: str) -> Column:
+    bad = (F.trim(cell) != cell) | F.contains(cell, F.lit("\0"))
+    return F.when(bad, F.raise_error(F.concat(F.lit(f"column {name}: blanks around a cell or a NUL in it: "), cell)).cast("string")).otherwise(cell)
 
 
 def read_headerless(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
