@@ -152,7 +152,8 @@ def classify(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     source = docs.select(docs[key].alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
     named = labels.select(labels[key].alias("doc_id"), labels[label].cast("int").alias("toxic")).filter("doc_id is not null and toxic in (0, 1)")
     named = named.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("doc_id")))
-    train = stored(source.join(named, "doc_id").select(F.xxhash64("doc_id", "text").alias("draw"), "toxic", "text"), "toxicity-train")
+    # Labels grow with the documents, so both are shuffled at any size.
+    train = stored(source.join(named.hint("merge"), "doc_id").select(F.xxhash64("doc_id", "text").alias("draw"), "toxic", "text"), "toxicity-train")
     model = source.sparkSession.sparkContext.broadcast(train_model(train, fit_rows))
     schema = T.StructType([source.schema["doc_id"], T.StructField("score", T.DoubleType())])
 
