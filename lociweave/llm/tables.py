@@ -38,12 +38,13 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tu
                 start, total = row + 1, 0
 
 
-def per_worker(name: str, make: Callable[[], object]) -> object:
-    """An object that a Python worker makes once and keeps across its tasks (functions travel by value, so their globals do not last)."""
+def per_worker(name: str, job: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker makes once and keeps across the tasks of one job (functions travel by value, so their globals
+    do not last). Another job's object takes its place."""
     kept = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if kept.get(name, ("", None))[0] != job:
+        kept[name] = job, make()
+    return kept[name][1]
 
 
 def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:

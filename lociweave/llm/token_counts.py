@@ -6,7 +6,7 @@ per UTF-8 byte, so they start as that many symbols and never merge.
 
 A merge can only happen inside a piece of the vocabulary. Where no piece holds a certain pair of neighbouring characters, the text
 may be cut between them; runs between a word and the next space mark are such places, which the vocabulary is asked for when it is
-loaded. Equal runs are counted once and remembered in a bounded table.
+loaded. Equal runs are counted once per task and remembered in a bounded table.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; every input row gives one row; other columns are not read.
 """
@@ -14,7 +14,6 @@ Defined results: null and empty texts have 0 bytes and 0 tokens; every input row
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
@@ -23,11 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import per_worker, slices, texts, utf8_bytes
+from .tables import slices, texts, utf8_bytes
 
 #: The character that stands for a space inside pieces.
 SPACE = "▁"
-#: Runs that a worker remembers before its table starts anew, and the longest run that is remembered.
+#: Runs remembered per task before the table starts anew, and the longest run that is remembered.
 REMEMBERED, REMEMBERED_CHARS = 1_000_000, 48
 _SHIFT = 40
 # Texts that tell whether a model normalises its input or joins spaces.
@@ -122,13 +121,11 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, key: str =
     """doc_id, n_bytes, n_tokens, over_limit (more than `limit` tokens). One map stage, no shuffle."""
     source = texts(docs, key, text).withColumn("n_bytes", utf8_bytes(F.col("text")))
     with open(model_path, "rb") as file:
-        model = file.read()
-    digest = zlib.crc32(model)
-    ranks = source.sparkSession.sparkContext.broadcast(read_pieces(model))  # a fixed vocabulary file
+        ranks = source.sparkSession.sparkContext.broadcast(read_pieces(file.read()))  # a fixed vocabulary file
     schema = T.StructType([source.schema["doc_id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = per_worker(f"runs {digest}", lambda: Counter(ranks.value))
+        counter = Counter(ranks.value)
         for rows, values in slices(batches):
             counts = pa.array([counter.count(v) for v in values], pa.int64())
             yield pa.RecordBatch.from_arrays([rows.column("doc_id").combine_chunks(), rows.column("n_bytes").combine_chunks(), counts], names=schema.names)

@@ -29,24 +29,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_root
-from .tables import dropped, slices, stored, texts
+from .hashing import spans, word_hashes
+from .tables import dropped, per_worker, slices, stored, texts
 
 #: Ids per block, about. A document is never cut, so one with more ids makes a larger block.
 BLOCK_IDS = 1 << 18
-#: Words remembered per task before the table starts anew.
-REMEMBERED = 1_000_000
+#: Bytes of text whose words are worked out at a time.
+PART = 1 << 22
+#: Words that a worker remembers within a job (about 30 bytes each) before its table starts anew.
+REMEMBERED = 2_000_000
 
 
 class Words:
-    """Ids of space-separated words, remembered per task.
+    """Ids of space-separated words, remembered by the worker for a job.
 
-    Valid for vocabularies whose normaliser and pre-tokenizer treat words apart, which `checked` asks the library. Words of letters
-    that the table lacks go to the library in one text per slice; their ids are told apart by the word-end mark.
+    Valid for vocabularies whose normaliser and pre-tokenizer treat words apart, which `checked` asks the library. The words of a text
+    are found and hashed as arrays of bytes; only those whose hash is not known become strings and go to the library, many in one
+    text, where the word-end mark tells their ids apart.
     """
 
     MARK = "</w>"
+    #: Punctuation that may follow a word without changing it; an apostrophe may start a suffix.
+    AFTER = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, apart: bool | None = None):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_str(vocabulary)
@@ -57,12 +63,12 @@ class Words:
         self.ends = np.zeros(size, bool)
         for token, i in self.lib.get_vocab(with_added_tokens=True).items():
             self.ends[i] = token.endswith(self.MARK)
-        self.known: dict[str, bytes] = {}
-        self.apart = self.checked()
+        self.forget()
+        self.apart = self.checked() if apart is None else apart
 
     def checked(self) -> bool:
         """Whether words on both sides of a space or newline encode as they do alone, with each word of letters ending in a mark."""
-        words = ["Abc", "don't", "'s", "ÉÀ", "e", "́x", "12", "a1,.", "ß", "<|endoftext|>", "日本", "…", "Σ"]
+        words = ["Abc", "don't", "'s", "ÉÀ", "e", "́x", "12", "a1,.", "ß", "<|endoftext|>", "日本", "…", "Σ", "ÉT!?.", "ab_", "Ab<|", "|>"]
         alone = [self.library(w).tolist() for w in words]
         pairs = all(
             self.library(a + gap + b).tolist() == x + y for a, x in zip(words, alone) for b, y in zip(words, alone) for gap in (" ", "\n", "  ")
@@ -72,49 +78,106 @@ class Words:
     def library(self, text: str) -> np.ndarray:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, self.dtype)
 
-    @staticmethod
-    def stem(word: str) -> tuple[str, str]:
-        """A word of ASCII letters in lower case, and a comma or full stop after it; anything else stays whole."""
-        if word.isascii():
-            if word[-1:] in (",", ".") and word[:-1].isalpha():
-                return word[:-1].lower(), word[-1]
-            if word.isalpha():
-                return word.lower(), ""
-        return word, ""
-
-    def learn(self, words: set[str]) -> None:
-        known = self.known
-        if len(known) + len(words) > REMEMBERED:
-            known.clear()
-        stems = {w: self.stem(w) for w in words}
-        new = {s for s, _ in stems.values() if s not in known}
-        letters = [s for s in new if s.isalpha()]
+    def forget(self) -> None:
+        """Sorted hashes of the words known, and where their ids are in the pool."""
+        self.hashes, self.places, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool = np.zeros(0, self.dtype)
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Letters with punctuation after them are two tokens of the splitting rule: both are encoded, and put together."""
+        bases = [w if w.isalpha() else w.rstrip(self.AFTER) for w in words]
+        letters = [b for b in dict.fromkeys(bases) if b.isalpha()]
+        found: dict[str, bytes] = {}
         if letters:
-            ids = self.library(" ".join(letters))
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(letters):
-                raise ValueError("a word of letters has no or several word ends")
-            start = 0
-            for s, end in zip(letters, cuts.tolist()):
-                known[s] = ids[start:end].tobytes()
-                start = end
-        for s in new:
-            if not s.isalpha():
-                known[s] = self.library(s).tobytes()
-        marks = {m: self.library(m).tobytes() for m in (",", ".")}
-        for w, (s, m) in stems.items():
-            if m:
-                known[w] = known[s] + marks[m]
-            elif w is not s:
-                known[w] = known[s]
+            ids = np.asarray(self.lib.encode_batch_fast([" ".join(letters)], add_special_tokens=False)[0].ids, self.dtype)
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * self.dtype.itemsize
+            if len(cuts) == len(letters):
+                data, cuts = ids.tobytes(), cuts.tolist()
+                found = dict(zip(letters, map(data.__getitem__, map(slice, [0, *cuts], cuts))))
+            else:  # a letter becomes a letter and a mark, which may join what follows
+                apart = [(b, self.library(b)) for b in letters]
+                found = {b: x.tobytes() for b, x in apart if self.ends[x].sum() == 1}
+        out = []
+        for w, b in zip(words, bases):
+            start = found.get(b)
+            if start is None:
+                out.append(self.library(w).tobytes())
+            elif len(b) == len(w):
+                out.append(start)
+            else:
+                after = w[len(b) :]
+                if after not in found:
+                    found[after] = self.library(after).tobytes()
+                out.append(start + found[after])
+        return out
+
+    def learn(self, data: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Add words, which no known hash stands for."""
+        ids = self.ids_of([data[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        places = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), self.dtype)])
+        order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
+        self.hashes, self.places, self.sizes = (
+            np.concatenate(x)[order] for x in ((self.hashes, hashes), (self.places, places), (self.sizes, sizes))
+        )
+
+    def prepared(self, text: str) -> str:
+        """In lower case where every letter has one lower-case form that does not depend on its neighbours, and the marks of
+        special tokens are lower-case already: that makes more words equal."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text if "<|" in text else text.lower()
+
+    def group(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of some prepared texts."""
+        joined = b"\n".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        starts, ends = spans((data == 32) | (data == 10))
+        once, first, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        if len(self.hashes) > REMEMBERED:
+            self.forget()
+        at = np.searchsorted(self.hashes, once)
+        new = np.ones(len(once), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != once[inside]
+        if new.any():
+            self.learn(joined, once[new], starts[first[new]], ends[first[new]])
+            at = np.searchsorted(self.hashes, once)
+        sizes = self.sizes[at][which]
+        total = np.cumsum(sizes)
+        ids = self.pool[np.repeat(self.places[at][which] - (total - sizes), sizes) + np.arange(total[-1] if len(total) else 0)].tobytes()
+        limits = np.cumsum([len(t) + 1 for t in texts])
+        cuts = np.append(0, total)[np.searchsorted(starts, limits)] * self.dtype.itemsize
+        return [ids[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
 
     def encode(self, values: list[str]) -> list[bytes]:
         if not self.apart:
             return [self.library(v).tobytes() for v in values]
-        split = [v.replace("\n", " ").split(" ") for v in values]
-        self.learn({w for words in split for w in words}.difference(self.known))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        out, held, size = [b""] * len(values), [], 0
+        pieces = [(i, piece) for i, v in enumerate(values) for piece in self.cut(self.prepared(v).encode())]
+        for number, (i, piece) in enumerate(pieces):
+            held.append((i, piece))
+            size += len(piece)
+            if size >= PART or number + 1 == len(pieces):
+                for (k, _), ids in zip(held, self.group([p for _, p in held])):
+                    out[k] += ids
+                held, size = [], 0
+        return out
+
+    @staticmethod
+    def cut(text: bytes) -> Iterator[bytes]:
+        """Long texts in pieces, between words."""
+        start = 0
+        while len(text) - start > PART:
+            ends = [x for x in (text.find(b" ", start + PART), text.find(b"\n", start + PART)) if x >= 0]
+            if not ends:
+                break
+            yield text[start : min(ends)]
+            start = min(ends) + 1
+        yield text[start:]
 
 
 def encode(docs: DataFrame, vocabulary_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, int]:
@@ -123,10 +186,11 @@ def encode(docs: DataFrame, vocabulary_path: str, end_id: int, key: str = "doc_i
     with open(vocabulary_path, encoding="utf-8") as file:
         vocabulary = source.sparkSession.sparkContext.broadcast(file.read())  # a fixed vocabulary file
     schema = T.StructType([source.schema["doc_id"], T.StructField("ids", T.BinaryType())])
-    width = Words(vocabulary.value).dtype.itemsize
+    here, job = Words(vocabulary.value), uuid.uuid4().hex
+    width, apart = here.dtype.itemsize, here.apart
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(vocabulary.value)
+        words = per_worker("words", job, lambda: Words(vocabulary.value, apart))
         end = words.dtype.type(end_id).tobytes()
         for rows, values in slices(batches):
             out = [x + end for x in words.encode(values)]
@@ -139,13 +203,14 @@ def frequencies(encoded: DataFrame, width: int) -> DataFrame:
     """id, n. Each task sends at most one row per id of the vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
+        total = np.zeros(1 << 8 * width if width < 3 else 0, np.int64)
         for batch in batches:
-            for value in batch.column("ids"):
-                found = np.bincount(np.frombuffer(value.as_buffer(), f"<u{width}"))
-                if len(found) > len(total):
-                    found, total = total, found
-                total[: len(found)] += found
+            column = batch.column("ids")
+            if len(column):
+                ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+                found = np.bincount(np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(f"<u{width}"), minlength=len(total))
+                found[: len(total)] += total
+                total = found
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), pa.array(total[ids])], names=["id", "n"])
 
@@ -157,24 +222,32 @@ def pack(ranks: np.ndarray) -> tuple[bytes, bytes]:
     lengths = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
     four = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     four[: len(ranks)] = lengths
-    control = (four.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.tobytes(), data[np.arange(4) <= lengths[:, None]].tobytes()
+    four = four.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    wide = 2 if not len(ranks) or lengths.max() < 2 else 4
+    data = ranks.astype(f"<u{wide}").view(np.uint8).reshape(-1, wide)
+    return control.tobytes(), data[np.arange(wide, dtype=np.uint8) <= lengths[:, None]].tobytes()
 
 
-def masks() -> np.ndarray:
-    """For every control byte, which of the 16 bytes of four 32-bit numbers are stored."""
+def masks(wide: int) -> np.ndarray:
+    """For every control byte, which bytes of four numbers of `wide` bytes are stored."""
     lengths = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3
-    return (np.arange(4)[None, None, :] <= lengths[:, :, None]).reshape(256, 16)
+    return (np.arange(wide)[None, None, :] <= lengths[:, :, None]).reshape(256, 4 * wide)
+
+
+#: Control bytes whose four numbers have at most two bytes each.
+NARROW = np.array([all(b >> s & 3 < 2 for s in (0, 2, 4, 6)) for b in range(256)])
 
 
-def unpack(control: bytes, data: bytes, n: int, table: np.ndarray) -> np.ndarray:
+def unpack(control: bytes, data: bytes, n: int, tables: dict[int, np.ndarray]) -> np.ndarray:
     """The `n` ranks again. The last control byte may stand for fewer than four; its spare numbers are no data."""
-    stored_bytes = table[np.frombuffer(control, np.uint8)].reshape(-1, 4)
-    stored_bytes[n:] = False
-    out = np.zeros(stored_bytes.shape, np.uint8)
-    out[stored_bytes] = np.frombuffer(data, np.uint8)
-    return out.reshape(-1).view("<u4")[:n]
+    marks = np.frombuffer(control, np.uint8)
+    wide = 2 if NARROW[marks].all() else 4
+    present = tables[wide][marks].reshape(-1, wide)
+    present[n:] = False
+    out = np.zeros(present.shape, np.uint8)
+    out[present] = np.frombuffer(data, np.uint8)
+    return out.reshape(-1).view(f"<u{wide}")[:n]
 
 
 def write(docs: DataFrame, path: str, vocabulary_path: str, end_id: int = 1, key: str = "doc_id", text: str = "text") -> None:
@@ -238,11 +311,11 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = masks()
+        tables = {wide: masks(wide) for wide in (2, 4)}
         for batch in batches:
             for i in range(batch.num_rows):
                 get = lambda c: batch.column(c)[i]  # noqa: B023, E731
-                ids = names.value[unpack(get("control").as_py(), get("data").as_py(), get("n_ids").as_py(), table)]
+                ids = names.value[unpack(get("control").as_py(), get("data").as_py(), get("n_ids").as_py(), tables)]
                 counts = np.frombuffer(get("counts").as_py(), "<u4").astype(np.int64)
                 ends = np.cumsum(counts)
                 found = [ids[e - c : e].tobytes() for c, e in zip(counts.tolist(), ends.tolist())]
