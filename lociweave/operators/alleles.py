@@ -28,6 +28,7 @@ class _Clusters:
         self.clusters: list[dict[str, int]] = []
         self.by_seed: dict[int, list[int]] = {}
         self.pool: list[dict[str, list]] = []
+        self.aligned: dict[tuple[str, str], float] = {}
 
     def pair(self, p: str, q: str) -> tuple[bool, float, float]:
         """Whether two sequences belong together; the length ratio is checked before any alignment."""
@@ -40,15 +41,13 @@ class _Clusters:
         return self.known[key]
 
     def _seed(self, key: str) -> int:
-        best = None
-        for i, seed in enumerate(self.seeds):
-            ok, sim, ratio = self.pair(key, seed)
-            if ok and (best is None or (sim, i, ratio) > best):
-                best = (sim, i, ratio)
-        if best is None:
+        """The seed a sequence belongs with: the most similar one, then the latest; without any it becomes a seed."""
+        tests = [self.pair(key, seed) for seed in self.seeds]
+        allowed = [i for i, (together, _, _) in enumerate(tests) if together]
+        if not allowed:
             self.seeds.append(key)
             return len(self.seeds) - 1
-        return best[1]
+        return max(allowed, key=lambda i: (tests[i][1], i))
 
     def _clique(self, key: str, among: list[int]) -> int | None:
         best = None
@@ -117,7 +116,14 @@ class _Clusters:
         return best[0][1][3], best[1]
 
     def _similarity(self, p: str, q: str) -> float:
-        return sequence_identity(self.seqs[min(p, q)], self.seqs[max(p, q)], self.rules)
+        """Identity of any two sequences; what placing has aligned already is not aligned again."""
+        key = (min(p, q), max(p, q))
+        placed = self.known.get(key)
+        if placed is not None and placed[2] >= self.rules.min_len_ratio:
+            return placed[1]
+        if key not in self.aligned:
+            self.aligned[key] = sequence_identity(self.seqs[key[0]], self.seqs[key[1]], self.rules)
+        return self.aligned[key]
 
 
 def length_bands(lengths: DataFrame, min_ratio: float) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys as k
 from ..functions import scalars as sc
+from ..session import materialize
 from .interval_join import interval_join
 from .scan import global_rank, ordered_scan
 
@@ -145,7 +146,8 @@ def unfold(steps: DataFrame, nodes: DataFrame, path_key: str = "path_id", order:
     """Cumulative offsets of ordered steps (path, order columns, segment, rev) over node lengths."""
     missing = F.raise_error(F.concat(F.lit("path step names an undefined segment: "), F.col("segment")))
     located = steps.join(nodes, "segment", "left").withColumn("node", F.coalesce("node", missing.cast(nodes.schema["node"].dataType)))
-    placed = ordered_scan(located, [path_key], list(order), {"end0": ("sum", "length"), "step_no": ("count", None)})
+    # Written first: the range partitioning of a scan samples its input, which would run the join twice.
+    placed = ordered_scan(materialize(located, "located"), [path_key], list(order), {"end0": ("sum", "length"), "step_no": ("count", None)})
     return placed.select(
         path_key, (F.col("step_no") - 1).alias("ordinal"), (F.col("end0") - F.col("length")).alias("start0"), "end0",
         "node", "rev",
@@ -264,7 +266,7 @@ def mapping_summary(features: DataFrame, steps: DataFrame) -> DataFrame:
 
 def merge_node_ranges(ranges: DataFrame, keys: list[str]) -> DataFrame:
     """Union of touching or overlapping [s, e) ranges per `keys`."""
-    scanned = ordered_scan(ranges.distinct(), keys, ["s", "e"], {"__end": ("max_before", "e")}, keep_slices=True)
+    scanned = ordered_scan(materialize(ranges.distinct(), "ranges"), keys, ["s", "e"], {"__end": ("max_before", "e")}, keep_slices=True)
     fresh = F.col("__end").isNull() | (F.col("s") > F.col("__end"))
     marked = scanned.withColumn("__start", F.when(fresh, F.col("s"))).drop("__end")
     headed = ordered_scan(marked, keys, ["s", "e"], {"__head": ("max", "__start")})

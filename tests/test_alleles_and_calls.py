@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,13 +173,21 @@ def test_exact_runs_equal_walking(spark, seed):
     assert got == _serial_runs(steps, target)
 
 
-def test_small_and_large_chains_agree():
+@pytest.mark.parametrize("penalty", [0.0, 0.3])
+def test_chains_against_all_predecessors(penalty):
     rng = random.Random(8)
-    for _ in range(30):
-        at = sorted((s := rng.randint(0, 60), s + rng.randint(1, 9), t := rng.randint(0, 60), t + 5, i) for i in range(rng.randint(1, 30)))
-        weight = [float(r[1] - r[0]) for r in at]
-        one, two = gt._small_chain(at, weight, 20, 0.0), gt._large_chain(at, weight, 20, 0.0)
-        assert list(one[0]) == list(two[0]) and list(one[1]) == list(two[1])
+    for _ in range(200):
+        n = rng.randint(1, 60)
+        rows = sorted((s, s + rng.randint(1, 9), t, t + rng.randint(1, 9)) for s, t in ((rng.randint(0, 80), rng.randint(0, 80)) for _ in range(n)))
+        weight = [rng.choice([1.0, 2.0, 0.5]) * (r[1] - r[0]) for r in rows]
+        score, support = [], []
+        for j, (s0, s1, t0, _) in enumerate(rows):
+            options = [(score[i] - penalty * abs((t0 - r[3]) - (s0 - r[1])), -i) for i, r in enumerate(rows[:j]) if 0 <= s0 - r[1] <= 20 and 0 <= t0 - r[3] <= 20]
+            gain, i = max(options, default=(0.0, 0))
+            score.append(weight[j] + max(gain, 0.0))
+            support.append(s1 - s0 + (support[-i] if gain > 0 else 0))
+        got = gt.chained(np.array(rows), np.array(weight), 20, penalty)
+        assert np.allclose(got[0], score) and got[1].tolist() == support
 
 
 RUN = "locus_id string, genome string, model string, side string, chrom string, direction long, source_start_bp long, source_end_bp long, target_start0 long, target_end0 long, placement_n long"
