@@ -20,7 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def fuzzy_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go; every document stays, with its new length."""
-    kept = line_dedup.deduplicate_lines(docs).select(*docs.columns)
+    kept = line_dedup.deduplicate_lines(docs, near_bits=line_dedup.WIDE_BITS).select(*docs.columns)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -47,7 +47,7 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.deduplicate_lines(read(spark, sf_dir, "documents"))
+    out = line_dedup.deduplicate_lines(read(spark, sf_dir, "documents"), near_bits=line_dedup.WIDE_BITS)
     return out.select("doc_id", "lines_total", "lines_dropped", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256"))
 
 
