@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, html_text, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file, toxicity
+from . import byte_bpe, decontamination, html_text, lexical_search, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file, toxicity
 from .tables import read, utf8_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,9 +66,14 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash_dedup.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.top_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 ALL = (
     op1_decontamination, op2_byte_bpe, op3_token_counts, op4_quality_rules, op5_sharding,
     op6_html_text, op7_line_dedup, op8_token_file, op9_toxicity, op10_simhash_dedup,
+    op11_lexical_search,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in ALL}
-ORACLES: dict[str, str] = {"op1_decontamination": decontamination.ORACLE}
+ORACLES: dict[str, str] = {"op1_decontamination": decontamination.ORACLE, "op11_lexical_search": lexical_search.ORACLE}
