@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontamination, html_text, lexical_search, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file, toxicity, warc
+from . import byte_bpe, decontamination, html_text, lexical_search, line_dedup, quality, sharding, simhash_dedup, token_counts, token_file, tokenizer_alignment, toxicity, warc
 from .tables import read, utf8_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,10 +76,15 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "place")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return tokenizer_alignment.align(read(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
+
+
 ALL = (
     op1_decontamination, op2_byte_bpe, op3_token_counts, op4_quality_rules, op5_sharding,
     op6_html_text, op7_line_dedup, op8_token_file, op9_toxicity, op10_simhash_dedup,
-    op11_lexical_search, op12_warc,
+    op11_lexical_search, op12_warc, op13_tokenizer_alignment,
 )
 QUERIES: dict[str, Query] = {f.__name__: f for f in ALL}
 ORACLES: dict[str, str] = {"op1_decontamination": decontamination.ORACLE, "op11_lexical_search": lexical_search.ORACLE}
