@@ -12,8 +12,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    return np.cumprod(np.full(max(1, n), 0x9E3779B97F4A7C15, np.uint64))
+def factors(n: int, salt: int = 0) -> np.ndarray:
+    """An odd factor for each place. Places have factors that do not depend on each other, unlike the powers of one number, of which
+    certain orders of two letters have equal sums whatever the number."""
+    return mixed(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(salt << 40)) | np.uint64(1)
 
 
 def spans(gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -23,12 +25,19 @@ def spans(gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A mixed polynomial of the bytes of each word."""
+    """A mixed sum of the bytes of each word, each times the factor of its place."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = ends - starts
     first = np.cumsum(lengths) - lengths
     at = np.arange(lengths.sum(), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)  # place of each byte in its word
-    values = powers(int(lengths.max()))[at]
+    values = factors(int(lengths.max()))[at]
     values *= data[at + np.repeat(starts.astype(np.int32), lengths)] + np.uint64(1)
     return mixed(np.add.reduceat(values, first))
+
+
+def equal_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, other: np.ndarray, other_starts: np.ndarray) -> bool:
+    """Whether all runs of bytes equal their counterparts in `other`."""
+    total = int(lengths.sum())
+    at = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    return bool((data[at + np.repeat(starts, lengths)] == other[at + np.repeat(other_starts, lengths)]).all())

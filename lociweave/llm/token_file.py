@@ -12,7 +12,7 @@ Format. A file set is a folder with two tables.
 The tables are Parquet, so that Spark's commit protocol covers lost executors and retried tasks and any shared store will do; the
 binary columns are the format. Decoding looks control bytes up in a table of byte masks.
 
-Defined results: null and empty texts hold the end id alone; a null key sorts first; rows with equal keys are documents of their own,
+Defined results: null and empty texts hold the end id alone; an empty table makes a file set without blocks; a null key sorts first; rows with equal keys are documents of their own,
 in an order that depends on their ids only.
 """
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_root
-from .hashing import spans, word_hashes
+from .hashing import equal_runs, spans, word_hashes
 from .tables import dropped, per_worker, slices, stored, texts
 
 #: Ids per block, about. A document is never cut, so one with more ids makes a larger block.
@@ -45,14 +45,15 @@ class Words:
 
     Valid for vocabularies whose normaliser and pre-tokenizer treat words apart, which `checked` asks the library. The words of a text
     are found and hashed as arrays of bytes; only those whose hash is not known become strings and go to the library, many in one
-    text, where the word-end mark tells their ids apart.
+    text, where the word-end mark tells their ids apart. Words with one hash are compared byte by byte; texts with different ones go to
+    the library as they are.
     """
 
     MARK = "</w>"
     #: Punctuation that may follow a word without changing it; an apostrophe may start a suffix.
     AFTER = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
-    def __init__(self, vocabulary: str, apart: bool | None = None):
+    def __init__(self, vocabulary: str, known: tuple[bool, bool] | None = None):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_str(vocabulary)
@@ -64,7 +65,7 @@ class Words:
         for token, i in self.lib.get_vocab(with_added_tokens=True).items():
             self.ends[i] = token.endswith(self.MARK)
         self.forget()
-        self.apart = self.checked() if apart is None else apart
+        self.apart, self.folds = known or (self.checked(), self.folded())
 
     def checked(self) -> bool:
         """Whether words on both sides of a space or newline encode as they do alone, with each word of letters ending in a mark."""
@@ -75,13 +76,19 @@ class Words:
         )
         return pairs and all(self.ends[x].sum() == 1 and self.ends[x[-1]] for w, x in zip(words, alone) if w.isalpha())
 
+    def folded(self) -> bool:
+        """Whether the library does not tell capital from small letters of Latin-1, alone and inside words."""
+        capitals = [c for c in map(chr, range(256)) if c != c.lower()]
+        return all(np.array_equal(self.library(w), self.library(w.lower())) for c in capitals for w in (c, f"{c}{c}", f"a{c}b", f"{c}ome", f"1{c}."))
+
     def library(self, text: str) -> np.ndarray:
         return np.asarray(self.lib.encode(text, add_special_tokens=False).ids, self.dtype)
 
     def forget(self) -> None:
-        """Sorted hashes of the words known, and where their ids are in the pool."""
-        self.hashes, self.places, self.sizes = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, self.dtype)
+        """Sorted hashes of the words known, and where their ids and their bytes are in the pools."""
+        self.hashes = np.zeros(0, np.uint64)
+        self.places, self.sizes, self.begins, self.lengths = (np.zeros(0, np.int64) for _ in range(4))
+        self.pool, self.bytes = np.zeros(0, self.dtype), np.zeros(0, np.uint8)
 
     def ids_of(self, words: list[str]) -> list[bytes]:
         """Letters with punctuation after them are two tokens of the splitting rule: both are encoded, and put together."""
@@ -113,18 +120,25 @@ class Words:
 
     def learn(self, data: bytes, hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
         """Add words, which no known hash stands for."""
-        ids = self.ids_of([data[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())])
+        words = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        ids = self.ids_of([w.decode() for w in words])
+        lengths = ends - starts
+        begins = len(self.bytes) + np.cumsum(lengths) - lengths
+        self.bytes = np.concatenate([self.bytes, np.frombuffer(b"".join(words), np.uint8)])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         places = len(self.pool) + np.cumsum(sizes) - sizes
         self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), self.dtype)])
         order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
-        self.hashes, self.places, self.sizes = (
-            np.concatenate(x)[order] for x in ((self.hashes, hashes), (self.places, places), (self.sizes, sizes))
+        known = (self.hashes, self.places, self.sizes, self.begins, self.lengths)
+        self.hashes, self.places, self.sizes, self.begins, self.lengths = (
+            np.concatenate(x)[order] for x in zip(known, (hashes, places, sizes, begins, lengths))
         )
 
     def prepared(self, text: str) -> str:
         """In lower case where every letter has one lower-case form that does not depend on its neighbours, and the marks of
         special tokens are lower-case already: that makes more words equal."""
+        if not self.folds:
+            return text
         try:
             text.encode("latin-1")
         except UnicodeEncodeError:
@@ -146,6 +160,9 @@ class Words:
         if new.any():
             self.learn(joined, once[new], starts[first[new]], ends[first[new]])
             at = np.searchsorted(self.hashes, once)
+        lengths, place = ends - starts, at[which]
+        if not np.array_equal(lengths, self.lengths[place]) or not equal_runs(data, starts, lengths, self.bytes, self.begins[place]):
+            return [self.library(t.decode()).tobytes() for t in texts]  # different words with one hash
         sizes = self.sizes[at][which]
         total = np.cumsum(sizes)
         ids = self.pool[np.repeat(self.places[at][which] - (total - sizes), sizes) + np.arange(total[-1] if len(total) else 0)].tobytes()
@@ -187,10 +204,10 @@ def encode(docs: DataFrame, vocabulary_path: str, end_id: int, key: str = "doc_i
         vocabulary = source.sparkSession.sparkContext.broadcast(file.read())  # a fixed vocabulary file
     schema = T.StructType([source.schema["doc_id"], T.StructField("ids", T.BinaryType())])
     here, job = Words(vocabulary.value), uuid.uuid4().hex
-    width, apart = here.dtype.itemsize, here.apart
+    width, known = here.dtype.itemsize, (here.apart, here.folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_worker("words", job, lambda: Words(vocabulary.value, apart))
+        words = per_worker("words", job, lambda: Words(vocabulary.value, known))
         end = words.dtype.type(end_id).tobytes()
         for rows, values in slices(batches):
             out = [x + end for x in words.encode(values)]

@@ -117,3 +117,33 @@ def test_queries_agree_with_the_libraries(spark, codec, words):
         ids = np.array(words.library(docs[r.doc_id]).tolist() + [1], "<u4")
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
         start += len(ids)
+
+
+def test_different_words_with_one_polynomial(words):
+    """Two letters in Thue-Morse order and its complement: sums over powers of one odd number agree modulo 2 ** 64."""
+    order = "0"
+    while len(order) < 2048:
+        order += order.translate({48: 49, 49: 48})
+    pair = [order.translate({48: a, 49: b}) for a, b in ("ab", "ba")]
+    assert len(set(pair)) == 2
+    texts = [" ".join(pair), *pair, f"x {pair[1]} y"]
+    assert words.encode(texts) == [words.library(t).tobytes() for t in texts]
+
+
+def test_words_with_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(token_file, "word_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64))
+    words = token_file.Words(open(WORDS, encoding="utf-8").read())
+    for texts in (["one two cat", "dog"], ["six", "three"], ["one", "dog two"]):
+        assert words.encode(texts) == [words.library(t).tobytes() for t in texts]
+
+
+def test_case_sensitive_vocabulary():
+    import json
+
+    file = json.load(open(WORDS, encoding="utf-8"))
+    steps = file["normalizer"]["normalizers"]
+    file["normalizer"]["normalizers"] = [s for s in steps if s["type"] != "Lowercase"]
+    words = token_file.Words(json.dumps(file))
+    assert len(steps) > len(file["normalizer"]["normalizers"]) and not words.folds
+    texts = ["Some CAPITAL letters", "É à ß"]
+    assert words.encode(texts) == [words.library(t).tobytes() for t in texts] != [words.library(t.lower()).tobytes() for t in texts]
