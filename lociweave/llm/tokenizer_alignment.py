@@ -6,7 +6,8 @@ are those of the space and the text.
 
 Windows. A place where tokens of both sides end, and where the next token of either side starts with a space, is an anchor. Anchors cut
 both lists of ids into windows; no token crosses one, so neither groups nor links do. The same windows come up again and again:
-their alignment is worked out once and remembered under the ids of both sides, in a table that starts anew when it is full.
+their alignment is worked out once and remembered under the ids of both sides, in a table of the worker that starts anew when it is full. The
+new windows of some documents are aligned together.
 
 Counts. A document keeps its distinct id pairs with their numbers, eight bytes a pair. Their sums over all documents are one
 aggregation; the pairs with their sums travel to the tasks in blocks of bounded size, one pass over the documents' pairs per block.
@@ -21,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -31,11 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .byte_bpe import Codec
-from .tables import slices, stored, texts
+from .hashing import equal_runs
+from .tables import per_worker, slices, stored, texts
 from .token_counts import PROBES, SPACE
 
 #: Token ids remembered as windows by a task, id pairs summed up by a task, and pairs that travel to the tasks at a time.
-REMEMBERED, HELD, BLOCK = 8_000_000, 4_000_000, 2_000_000
+REMEMBERED, HELD, BLOCK = 4_000_000, 4_000_000, 2_000_000
+#: Characters of the documents whose new windows are aligned together.
+TOGETHER = 1 << 18
 
 
 def byte_letters() -> dict[str, int]:
@@ -86,13 +91,29 @@ class Pieces:
         return self.lib.encode(text, num_threads=1)
 
 
+class Side:
+    """Bytes of the tokens of one tokenizer, and their ids as text with a mark after them."""
+
+    def __init__(self, tokens: list[bytes], last: str):
+        self.sizes = np.array(list(map(len, tokens)))
+        self.begins, self.pool = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(tokens), np.uint8)
+        self.spaced = np.array([t.startswith(b" ") for t in tokens])
+        # the id before another one of its group, and then the last id of a group
+        self.shown = np.array([f"{i}{mark}".encode() for mark in (",", last) for i in range(len(tokens))], object)
+        self.widths = np.array(list(map(len, self.shown)))
+
+    def give(self, ids: np.ndarray, ends: np.ndarray, whole: np.ndarray) -> bool:
+        """Whether the tokens, which end at `ends`, are the bytes of `whole`."""
+        sizes = self.sizes[ids]
+        return len(ids) > 0 and ends[-1] == len(whole) and equal_runs(whole, ends - sizes, sizes, self.pool, self.begins[ids])
+
+
 class Windows(dict):
-    """Number of each window that has been met, by the ids of both sides; the alignments are in lists."""
+    """Number of each window that has been met, by the ids of both sides (A's, then B's counted on from A's size, four bytes each); the
+    alignments are in lists."""
 
-    def __init__(self, a_bytes: list[bytes], b_bytes: list[bytes]):
-        self.a_bytes, self.b_bytes = a_bytes, b_bytes
-        self.a_sizes, self.b_sizes = np.array(list(map(len, a_bytes))), np.array(list(map(len, b_bytes)))
-        self.a_spaced, self.b_spaced = (np.array([x.startswith(b" ") for x in side]) for side in (a_bytes, b_bytes))
+    def __init__(self, a_tokens: list[bytes], b_tokens: list[bytes]):
+        self.a, self.b, self.n_a, self.n_b = Side(a_tokens, "|"), Side(b_tokens, ";"), len(a_tokens), len(b_tokens)
         self.forget()
 
     def forget(self) -> None:
@@ -102,51 +123,71 @@ class Windows(dict):
         self.shown: list[bytes] = []  # groups as text
         self.pairs: list[bytes] = []  # codes of the links
 
-    def __missing__(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> int:
-        groups, links = aligned(*key, self.a_sizes, self.b_sizes)
-        self[key] = number = len(self.shown)
-        self.held += len(key[0]) + len(key[1])
-        self.n_groups.append(len(groups))
-        self.shown.append(";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups).encode())
-        self.pairs.append(np.array([a * len(self.b_bytes) + b for a, b in links], "<u8").tobytes())
-        return number
-
-    def document(self, text: str, a: list[int], b: list[int]) -> tuple[int, bytes, np.ndarray] | None:
-        """Number of groups, their text, and the codes of all links; None if the tokens do not give the text."""
-        whole = b" " + text.encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+    def windows(self, text: str, a: list[int], b: list[int]) -> list[bytes] | None:
+        """The windows of a text; None if the tokens do not give the text."""
+        whole = np.frombuffer(b" " + text.encode(), np.uint8)
+        a_ids, b_ids = np.array(a, np.int64), np.array(b, np.int64)
+        a_ends, b_ends = np.cumsum(self.a.sizes[a_ids]), np.cumsum(self.b.sizes[b_ids])
+        if not self.a.give(a_ids, a_ends, whole) or not self.b.give(b_ids, b_ends, whole):
             return None
-        if self.held > REMEMBERED:
-            self.forget()
-        a_ids, b_ids = np.array(a), np.array(b)
-        a_ends, b_ends = np.cumsum(self.a_sizes[a_ids]), np.cumsum(self.b_sizes[b_ids])
         at = np.searchsorted(b_ends, a_ends)
         after_a = np.flatnonzero(b_ends[at] == a_ends) + 1  # first tokens after the shared ends
         after_b = at[after_a - 1] + 1
-        after_a, after_b = after_a[:-1], after_b[:-1]  # the last shared end is that of the text
-        spaced = self.a_spaced[a_ids[after_a]] & self.b_spaced[b_ids[after_b]]
-        cuts_a, cuts_b = after_a[spaced].tolist(), after_b[spaced].tolist()
-        ta, tb = tuple(a), tuple(b)
-        left = map(ta.__getitem__, map(slice, [0, *cuts_a], [*cuts_a, len(ta)]))
-        right = map(tb.__getitem__, map(slice, [0, *cuts_b], [*cuts_b, len(tb)]))
-        numbers = list(map(self.__getitem__, zip(left, right)))
-        codes = np.frombuffer(b"".join(map(self.pairs.__getitem__, numbers)), "<u8")
-        return sum(map(self.n_groups.__getitem__, numbers)), b";".join(map(self.shown.__getitem__, numbers)), codes
-
-
-def aligned(a: tuple[int, ...], b: tuple[int, ...], a_sizes: np.ndarray, b_sizes: np.ndarray) -> tuple[list[tuple], list[tuple[int, int]]]:
-    """Groups between shared ends, and the ids of all tokens that overlap, of two lists that cover the same bytes."""
-    a_ends, b_ends = np.cumsum(a_sizes[list(a)]).tolist(), np.cumsum(b_sizes[list(b)]).tolist()
-    groups, links = [], []
-    i = j = i0 = j0 = 0
-    while i < len(a):
-        links.append((a[i], b[j]))
-        x, y = a_ends[i], b_ends[j]
-        i, j = i + (x <= y), j + (y <= x)
-        if x == y:
-            groups.append((a[i0:i], b[j0:j]))
-            i0, j0 = i, j
-    return groups, links
+        # an anchor: both next tokens start with a space; the last shared end is that of the text
+        spaced = self.a.spaced[a_ids[after_a[:-1]]] & self.b.spaced[b_ids[after_b[:-1]]]
+        spaced = np.append(spaced, True)
+        cuts_a, cuts_b = after_a[spaced], after_b[spaced]
+        sizes_a, sizes_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        ids = np.empty(len(a) + len(b), "<u4")
+        ids[np.arange(len(a)) + np.repeat(cuts_b - sizes_b, sizes_a)] = a_ids
+        ids[np.arange(len(b)) + np.repeat(cuts_a, sizes_b)] = b_ids + self.n_a
+        ends = (4 * (cuts_a + cuts_b)).tolist()
+        return list(map(ids.tobytes().__getitem__, map(slice, [0, *ends], ends)))
+
+    def learn(self, keys: list[bytes]) -> None:
+        """Align new windows, all at once: one after another they are a text, which shared ends cut."""
+        ids = np.frombuffer(b"".join(keys), "<u4").astype(np.int64)
+        of_a = ids < self.n_a
+        a, b = ids[of_a], ids[~of_a] - self.n_a
+        sizes = np.cumsum(np.fromiter(map(len, keys), np.int64, len(keys)) // 4)
+        last_a = np.cumsum(of_a)[sizes - 1]  # tokens of A up to the end of each window
+        a_ends, b_ends = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        ends = np.union1d(a_ends, b_ends)  # a pair of tokens overlaps up to one of these, and every one of them ends such a pair
+        at_a, at_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+        codes = (a[at_a] * self.n_b + b[at_b]).astype("<u8").tobytes()
+        both = (a_ends[at_a] == ends) & (b_ends[at_b] == ends)
+        shared = ends[both]
+        # the text of the groups: A's tokens of a group, then B's
+        group_a, group_b = np.searchsorted(shared, a_ends), np.searchsorted(shared, b_ends)
+        shown_a, shown_b = a + self.n_a * (shared[group_a] == a_ends), b + self.n_b * (shared[group_b] == b_ends)
+        after = np.append(0, np.searchsorted(b_ends, shared, "right"))[group_a]
+        before = np.searchsorted(a_ends, shared, "right")[group_b]
+        text, widths = np.empty(len(ids), object), np.empty(len(ids), np.int64)
+        for at, side, tokens in ((np.arange(len(a)) + after, self.a, shown_a), (np.arange(len(b)) + before, self.b, shown_b)):
+            text[at], widths[at] = side.shown[tokens], side.widths[tokens]
+        joined, cuts = b"".join(text.tolist()), np.cumsum(widths)[sizes - 1].tolist()
+        stops = np.searchsorted(ends, a_ends[last_a - 1]) + 1  # links up to the end of each window
+        self.n_groups += np.diff(np.append(0, np.cumsum(both))[stops], prepend=0).tolist()
+        self.shown += [joined[x : y - 1] for x, y in zip([0, *cuts], cuts)]
+        stops = (8 * stops).tolist()
+        self.pairs += [codes[x:y] for x, y in zip([0, *stops], stops)]
+        self.update(zip(keys, range(len(self), len(self) + len(keys))))
+        self.held += len(ids)
+
+    def align(self, docs: list[list[bytes] | None]) -> Iterator[tuple[int, bytes, np.ndarray] | None]:
+        """Of each document, given by its windows: number of groups, their text, and the codes of all links."""
+        if self.held > REMEMBERED:
+            self.forget()
+        new = dict.fromkeys(k for keys in docs if keys for k in keys if k not in self)
+        if new:
+            self.learn(list(new))
+        for keys in docs:
+            if keys is None:
+                yield None
+                continue
+            numbers = list(map(self.__getitem__, keys))
+            codes = np.frombuffer(b"".join(map(self.pairs.__getitem__, numbers)), "<u8")
+            yield sum(map(self.n_groups.__getitem__, numbers)), b";".join(map(self.shown.__getitem__, numbers)), codes
 
 
 FIELDS = [T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links")] + [T.StructField("groups_sha256", T.StringType())]
@@ -160,23 +201,33 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, pattern: str, key: str
     with open(a_path, encoding="utf-8") as a_file, open(b_path, "rb") as b_file:
         files = source.sparkSession.sparkContext.broadcast((a_file.read(), b_file.read()))  # two fixed vocabulary files
     schema = T.StructType([source.schema["doc_id"], *FIELDS, *PAIRS, *[T.StructField("groups", T.StringType())] * groups])
-    size = len(Pieces(files.value[1]).bytes)
+    size, job = len(Pieces(files.value[1]).bytes), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = ByteLevel(files.value[0], pattern), Pieces(files.value[1])
-        windows = Windows(side_a.bytes, side_b.bytes)
+        def make() -> tuple[ByteLevel, Pieces, Windows]:
+            a, b = ByteLevel(files.value[0], pattern), Pieces(files.value[1])
+            return a, b, Windows(a.bytes, b.bytes)
+
+        side_a, side_b, windows = per_worker("windows", job, make)
         for rows, values in slices(batches):
-            out = []
-            for value in values:
+            out, held, size = [], [], 0
+            for number, value in enumerate(values):
                 a, b = (side_a.encode(value), side_b.encode(value)) if value else ([], [])
-                found = windows.document(value, a, b) if value else None
-                if found is None:
-                    out.append((0, 0, 0, 0, "", b"", b"", ""))
+                held.append((len(a), len(b), windows.windows(value, a, b) if value else None))
+                size += len(value)
+                if size < TOGETHER and number + 1 < len(values):
                     continue
-                n_groups, shown, links = found
-                codes, numbers = np.unique(links, return_counts=True)
-                digest = hashlib.sha256(shown).hexdigest()
-                out.append((len(a), len(b), n_groups, len(links), digest, codes.astype("<u8").tobytes(), numbers.astype("<u4").tobytes(), shown.decode() if groups else ""))
+                for (n_a, n_b, _), found in zip(held, windows.align([keys for _, _, keys in held])):
+                    if found is None:
+                        out.append((0, 0, 0, 0, "", b"", b"", ""))
+                        continue
+                    n_groups, shown, links = found
+                    links = np.sort(links)
+                    first = np.flatnonzero(np.diff(links, prepend=links[0] + np.uint64(1)))
+                    codes, numbers = links[first], np.diff(first, append=len(links))
+                    digest = hashlib.sha256(shown).hexdigest()
+                    out.append((n_a, n_b, n_groups, len(links), digest, codes.tobytes(), numbers.astype("<u4").tobytes(), shown.decode() if groups else ""))
+                held, size = [], 0
             columns = list(zip(*out))[: len(schema) - 1]
             kinds = [*[pa.int64()] * 4, pa.string(), pa.binary(), pa.binary(), pa.string()]
             yield pa.RecordBatch.from_arrays([rows.column("doc_id").combine_chunks(), *map(pa.array, columns, kinds)], names=schema.names)
