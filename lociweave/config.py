@@ -23,8 +23,7 @@ class HitRules:
 @dataclass(frozen=True)
 class LocusRules:
     anchor_k: int = 3
-    max_mid_anchors: int = 8
-    max_anchor_bucket: int = 128
+    max_mid_anchors: int | None = None  # all windows
     exact_ro: float = 0.95
     exact_size: float = 0.95
     exact_ctx: float = 0.80
@@ -36,7 +35,6 @@ class LocusRules:
     weak_seq_gate: float = 0.25
     kmer: int = 9
     ambiguity_margin: float = 0.25
-    max_medoid_members: int = 500
     site_window_bp: int = 100
 
 

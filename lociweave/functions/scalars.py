@@ -174,20 +174,21 @@ def bind(value: Column, fn) -> Column:
     return F.get(F.transform(F.array(value), fn), F.lit(0))
 
 
-def spaced_shingles(tokens: Column, k: int, limit: int) -> Column:
-    """Windows of k tokens joined by `|`; more than `limit` are thinned to evenly spaced positions (half-even)."""
+def spaced_shingles(tokens: Column, k: int, limit: int | None = None) -> Column:
+    """Windows of k tokens joined by `|`; with a limit, more of them are thinned to evenly spaced positions (half-even)."""
 
     def build(t: Column) -> Column:
         n = F.size(t)
         width = F.least(F.lit(k), n)
-        last = (n - width).cast("double")
-        spaced = F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(limit - 1)), lambda i: F.bround(i * last / F.lit(limit - 1)).cast("int")
+        picks = F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
+        if limit is not None:
+            last = (n - width).cast("double")
+            spaced = F.array_distinct(
+                F.transform(
+                    F.sequence(F.lit(0), F.lit(limit - 1)), lambda i: F.bround(i * last / F.lit(limit - 1)).cast("int")
+                )
             )
-        )
-        every = F.sequence(F.lit(0), F.greatest(n - width, F.lit(0)))
-        picks = F.when(n - width + 1 > limit, spaced).otherwise(every)
+            picks = F.when(n - width + 1 > limit, spaced).otherwise(picks)
         shingles = F.transform(picks, lambda i: F.array_join(F.slice(t, i + 1, width), "|"))
         return F.when(n == 0, F.array().cast("array<string>")).otherwise(shingles)
 

@@ -18,8 +18,7 @@ DOCS = """
 dw AS (SELECT doc_id, source, lang, text, list_filter(string_split_regex(text, '[ \\n\\t\\r]+'), lambda x: x <> '') AS w FROM documents),
 dt AS (SELECT 'd' || lpad(CAST(doc_id AS VARCHAR), 9, '0') AS fid, doc_id + 1 AS ord, source, lang, text, list_transform(w, lambda x: '>' || x) AS t, w FROM dw),
 sp AS (SELECT *, len(t) AS n, least(3, len(t)) AS kk FROM dt),
-sx AS (SELECT *, CASE WHEN n - kk + 1 > 8 THEN list_distinct(list_transform(range(8), lambda i: CAST(round_even(i * CAST(n - kk AS DOUBLE) / 7, 0) AS BIGINT)))
-                      ELSE range(n - kk + 1) END AS ix FROM sp WHERE n > 0),
+sx AS (SELECT *, range(n - kk + 1) AS ix FROM sp WHERE n > 0),
 sh AS (SELECT *, list_distinct(list_transform(ix, lambda i: 'M:' || array_to_string(t[i + 1 : i + kk], '|'))) AS shingles,
               array_to_string(t[1 : kk], '|') AS la, array_to_string(t[n - kk + 1 : n], '|') AS ra,
               CAST(list_sum(list_transform(list_distinct(w), lambda x: length(x))) AS BIGINT) AS bp FROM sx)
@@ -156,18 +155,17 @@ KINDS = "CASE WHEN (ord - 1) % 50 = 0 THEN 3 WHEN (ord - 1) % 50 = 1 THEN 2 ELSE
 
 @query("c05_source_medoids", f"""
 WITH {WEIGHTS},
-cap AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY {KINDS} > 1 DESC, CASE WHEN {KINDS} > 1 THEN 0 ELSE length(text) END DESC, ord) AS rn FROM sh) WHERE rn <= 500),
-nd AS (SELECT fid, source, unnest(list_distinct(w)) AS node FROM cap),
-cw AS (SELECT fw.*, source FROM fw JOIN cap USING (fid)),
+nd AS (SELECT fid, source, unnest(list_distinct(w)) AS node FROM sh),
+cw AS (SELECT fw.*, source FROM fw JOIN sh USING (fid)),
 tw AS (SELECT fid, sum(weight) AS w FROM cw GROUP BY 1),
-pa AS (SELECT x.fid AS a, y.fid AS b, x.source FROM cap x JOIN cap y ON x.source = y.source AND x.fid <> y.fid),
+pa AS (SELECT x.fid AS a, y.fid AS b, x.source FROM sh x JOIN sh y ON x.source = y.source AND x.fid <> y.fid),
 it AS (SELECT x.fid AS a, y.fid AS b, sum(x.weight) AS i FROM cw x JOIN cw y ON x.source = y.source AND x.shingle = y.shingle AND x.fid <> y.fid GROUP BY 1, 2),
 sb AS (SELECT x.fid AS a, y.fid AS b, sum(length(x.node)) AS s FROM nd x JOIN nd y ON x.source = y.source AND x.node = y.node AND x.fid <> y.fid GROUP BY 1, 2),
 ps AS (SELECT pa.a, pa.source, least(coalesce(s, 0) / p.bp, coalesce(s, 0) / q.bp) * 4.0 + coalesce(i, 0) / (ta.w + tb.w - coalesce(i, 0)) * 2.0 + least(p.bp, q.bp) / greatest(p.bp, q.bp)
               + CASE WHEN p.la = q.la OR p.ra = q.ra THEN 0.25 ELSE 0 END AS score
-       FROM pa JOIN cap p ON p.fid = a JOIN cap q ON q.fid = b JOIN tw ta ON ta.fid = a JOIN tw tb ON tb.fid = b LEFT JOIN it USING (a, b) LEFT JOIN sb USING (a, b)),
-tt AS (SELECT source, a, round(10 + sum(score), 9) AS total FROM ps GROUP BY 1, 2)
-SELECT source AS group_id, arg_max(a, (total, {KINDS}, CAST(lang = 'en' AS INT), length(text), fid)) AS medoid_fid, count(*) AS member_n FROM tt JOIN cap USING (source) WHERE cap.fid = a GROUP BY 1""")
+       FROM pa JOIN sh p ON p.fid = a JOIN sh q ON q.fid = b JOIN tw ta ON ta.fid = a JOIN tw tb ON tb.fid = b LEFT JOIN it USING (a, b) LEFT JOIN sb USING (a, b)),
+tt AS (SELECT fid AS a, sh.source, round(10 + coalesce(sum(score), 0), 9) AS total FROM sh LEFT JOIN ps ON ps.a = fid GROUP BY 1, 2)
+SELECT sh.source AS group_id, arg_max(a, (total, {KINDS}, CAST(lang = 'en' AS INT), length(text), fid)) AS medoid_fid, count(*) AS member_n FROM tt JOIN sh ON sh.fid = a GROUP BY 1""")
 def source_medoids(spark, d):
     docs = _docs(spark, d)
     shingles = materialize(sim.weighted_shingles(docs), "weighted")
@@ -206,17 +204,75 @@ def seed_loci(spark, d):
     return docs, shingles, nodes, materialize(lo.cluster_loci(docs, shingles, nodes), "loci")
 
 
-@query("c06_cluster_loci")
-def cluster_loci(spark, d):
-    return seed_loci(spark, d)[3]
+#: All pairs of a feature with an earlier one that share an anchor and match.
+MATCHES = f"""
+{WEIGHTS},
+an AS (SELECT fid, ord, unnest(list_distinct(list_concat(['L:' || la, 'R:' || ra], shingles))) AS anchor FROM sh),
+an2 AS (SELECT DISTINCT x.fid AS a, y.fid AS b FROM an x JOIN an y USING (anchor) WHERE x.fid <> y.fid),
+nd AS (SELECT fid, unnest(list_distinct(w)) AS node FROM sh),
+sb AS (SELECT a, b, CAST(sum(length(x.node)) AS BIGINT) AS shared_bp FROM an2 JOIN nd x ON x.fid = a JOIN nd y ON y.fid = b AND y.node = x.node GROUP BY 1, 2),
+so AS (SELECT a, b, shared_bp, least(shared_bp / p.bp, shared_bp / q.bp) AS ro, least(p.bp, q.bp) / greatest(p.bp, q.bp) AS size_ratio, CAST(p.la = q.la OR p.ra = q.ra AS INTEGER) AS boundary,
+              p.ord AS ord, q.ord AS other, p.source || ':' || p.lang AS label, p.text AS ta, q.text AS tb
+       FROM sb JOIN sh p ON p.fid = a JOIN sh q ON q.fid = b WHERE least(shared_bp / p.bp, shared_bp / q.bp) >= 0.20),
+it AS (SELECT a, b, sum(x.weight) AS i FROM so JOIN fw x ON x.fid = a JOIN fw y ON y.fid = b AND y.shingle = x.shingle GROUP BY 1, 2),
+tw AS (SELECT fid, sum(weight) AS w FROM fw GROUP BY 1),
+cx AS (SELECT so.*, round(coalesce(i, 0) / (p.w + q.w - coalesce(i, 0)), 12) AS ctx FROM so LEFT JOIN it USING (a, b) JOIN tw p ON p.fid = so.a JOIN tw q ON q.fid = so.b),
+tr AS (SELECT *, CASE WHEN ro >= 0.95 AND size_ratio >= 0.95 AND ctx >= 0.80 THEN 3 WHEN ro >= 0.50 AND ctx >= 0.30 THEN 2
+                      WHEN size_ratio >= 0.67 AND (ctx >= 0.50 OR boundary = 1) THEN 1 ELSE 0 END AS r0 FROM cx),
+kq AS (SELECT *, CASE WHEN r0 = 1 THEN list_distinct(list_transform(range(1, greatest(2, length(ta) - 7)), lambda i: substr(ta, i, 9))) END AS ka,
+                 CASE WHEN r0 = 1 THEN list_distinct(list_transform(range(1, greatest(2, length(tb) - 7)), lambda i: substr(tb, i, 9))) END AS kb FROM tr WHERE r0 > 0),
+ws AS (SELECT *, CASE WHEN r0 = 1 THEN len(list_intersect(ka, kb)) / (len(ka) + len(kb) - len(list_intersect(ka, kb))) END AS weak FROM kq),
+mt AS MATERIALIZED (SELECT a, b, ord, other, label, round(r0 * 10.0 + ro * 3.0 + ctx * 2.0 + size_ratio + coalesce(weak, 0) * 0.5, 9) AS composite FROM ws WHERE r0 <> 1 OR weak >= 0.25)
+"""
+#: The serial visit, one feature a step: the best earlier representative that matches and has no member of the label.
+SEEDS = f"""
+WITH RECURSIVE {MATCHES},
+lb AS MATERIALIZED (SELECT row_number() OVER (ORDER BY ord) AS k, ord, fid, source || ':' || lang AS label FROM sh),
+st(k, ord, label, rep) USING KEY (k) AS (
+  SELECT 0::BIGINT AS k, 0::BIGINT AS ord, '' AS label, -1::BIGINT AS rep
+  UNION
+  SELECT n.k, n.ord, n.label, coalesce((SELECT arg_max(m.other, (m.composite, -m.other)) FROM mt m JOIN recurring.st r ON r.ord = m.other AND r.rep = r.ord
+      WHERE m.ord = n.ord AND m.other < n.ord AND NOT EXISTS (SELECT 1 FROM recurring.st t WHERE t.rep = m.other AND t.label = n.label)), n.ord)
+  FROM st s JOIN lb n ON n.k = s.k + 1),
+sd AS MATERIALIZED (SELECT lb.fid, st.ord, st.label, st.rep, dense_rank() OVER (ORDER BY st.rep) AS locus_id FROM st JOIN lb USING (k))
+"""
 
 
-@query("c07_polish_loci")
+@query("c06_cluster_loci", f"{SEEDS} SELECT fid, ord, label, locus_id FROM sd")
+def cluster_loci(spark, d):
+    return seed_loci(spark, d)[3].select("fid", "ord", "label", "locus_id")
+
+
+@query("c07_polish_loci", f"""
+{SEEDS},
+pd AS (SELECT x.locus_id, x.fid AS a, y.fid AS b FROM sd x JOIN sd y ON x.locus_id = y.locus_id AND x.fid <> y.fid),
+pn AS (SELECT a, b, sum(length(x.node)) AS s FROM pd JOIN nd x ON x.fid = a JOIN nd y ON y.fid = b AND y.node = x.node GROUP BY 1, 2),
+pi AS (SELECT a, b, sum(x.weight) AS i FROM pd JOIN fw x ON x.fid = a JOIN fw y ON y.fid = b AND y.shingle = x.shingle GROUP BY 1, 2),
+ps AS (SELECT a, sum(least(coalesce(s, 0) / p.bp, coalesce(s, 0) / q.bp) * 4.0 + coalesce(i, 0) / (ta.w + tb.w - coalesce(i, 0)) * 2.0 + least(p.bp, q.bp) / greatest(p.bp, q.bp)
+              + CASE WHEN p.la = q.la OR p.ra = q.ra THEN 0.25 ELSE 0 END) AS score
+       FROM pd JOIN sh p ON p.fid = a JOIN sh q ON q.fid = b JOIN tw ta ON ta.fid = a JOIN tw tb ON tb.fid = b LEFT JOIN pn USING (a, b) LEFT JOIN pi USING (a, b) GROUP BY 1),
+md AS MATERIALIZED (SELECT locus_id, arg_max(ord, (total, {{kinds}}, CAST(lang = 'en' AS INT), length(text), fid)) AS src
+       FROM (SELECT sd.locus_id, sh.*, round(10 + coalesce(score, 0), 9) AS total FROM sd JOIN sh USING (fid) LEFT JOIN ps ON ps.a = sh.fid) GROUP BY 1),
+tp AS (SELECT max(locus_id) AS top FROM md),
+-- a medoid matches as a representative of a negative position; features match earlier features that found loci
+mm AS MATERIALIZED (SELECT m.ord, md.locus_id - top - 1 AS rep, m.composite FROM mt m JOIN md ON md.src = m.other, tp
+       UNION ALL SELECT sh.ord, md.locus_id - top - 1, 36.0 FROM md JOIN sh ON sh.ord = md.src, tp
+       UNION ALL SELECT ord, other, composite FROM mt WHERE other < ord),
+po(k, ord, label, rep) USING KEY (k) AS (
+  SELECT 0::BIGINT AS k, 0::BIGINT AS ord, '' AS label, 0::BIGINT AS rep
+  UNION
+  SELECT n.k, n.ord, n.label, coalesce((SELECT arg_max(m.rep, (m.composite, -m.rep)) FROM mm m
+      WHERE m.ord = n.ord AND (m.rep < 0 OR EXISTS (SELECT 1 FROM recurring.po r WHERE r.ord = m.rep AND r.rep = r.ord))
+        AND NOT EXISTS (SELECT 1 FROM recurring.po t WHERE t.rep = m.rep AND t.label = n.label)), n.ord)
+  FROM po s JOIN lb n ON n.k = s.k + 1),
+fr AS (SELECT rep, top + row_number() OVER (ORDER BY rep) AS locus_id FROM (SELECT DISTINCT rep FROM po WHERE k > 0 AND rep > 0), tp)
+SELECT lb.fid, po.ord, po.label, CAST(CASE WHEN po.rep < 0 THEN po.rep + top + 1 ELSE fr.locus_id END AS BIGINT) AS locus_id
+FROM po JOIN lb USING (k) LEFT JOIN fr USING (rep), tp""".replace("{kinds}", KINDS))
 def polish_loci(spark, d):
     docs, shingles, nodes, seeds = seed_loci(spark, d)
     members = seeds.select(F.col("locus_id").alias("group_id"), "fid", F.col("ord").alias("member_ord"))
     medoid = sim.medoids(members, docs, shingles, nodes).select(F.col("group_id").alias("locus_id"), "medoid_fid")
-    return lo.polish_loci(seeds, materialize(medoid, "medoid"), docs, shingles, nodes)
+    return lo.polish_loci(seeds, materialize(medoid, "medoid"), docs, shingles, nodes).select("fid", "ord", "label", "locus_id")
 
 
 @query("c13_alignment_identity")
