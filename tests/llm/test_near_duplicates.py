@@ -155,6 +155,22 @@ def test_edit_distance():
         assert line_dedup.similar(a, b, 0.8) == (edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9)
 
 
+def test_edit_similarity_of_many_pairs():
+    rng = random.Random(5)
+    left, right = [""], [""]
+    for n in [0, 1, 3, 30, 63, 64, 65, 127, 128, 129, 300, 700, 2047, 2049] * 8:
+        a = [rng.choice("abcdeé日 ") for _ in range(n)]
+        b = list(a)
+        for _ in range(rng.randint(0, n // 4 + 1)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 2)] = [rng.choice("abcxyz語") for _ in range(rng.randint(0, 2))]
+        left.append("".join(a))
+        right.append("".join(b))
+    got = line_dedup.similar_pairs(left, right, 0.8)
+    assert got.tolist() == [edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in zip(left, right)]
+    assert 20 < got.sum() < len(left)
+
+
 def test_simhashes_of_long_runs():
     h = np.random.default_rng(1).integers(0, 1 << 63, 1300, dtype=np.uint64)
     starts = np.array([0, 1, 256, 511, 1021])
