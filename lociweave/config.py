@@ -48,7 +48,7 @@ class AlleleRules:
     mismatch: int = -3
     gap_open: int = 5
     gap_extend: int = 2
-    long_bp: int = 100_000
+    ends: str = "free"  # or "global": both sequences end to end, with the penalties of long sequences
 
 
 @dataclass(frozen=True)

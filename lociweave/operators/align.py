@@ -18,67 +18,121 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32)
 
 
-def alignment_counts(a: str, b: str, match: int, mismatch: int, gap_open: int, gap_extend: int, free_ends: bool) -> tuple[int, int]:
-    """Matches and columns of the best affine-gap alignment; a gap of n costs open + (n-1)*extend.
+#: Cells of the score tables' rows that are worked on at a time.
+CELLS = 1 << 18
+
+
+def _padded(texts: list[str], fill: int) -> np.ndarray:
+    out = np.full((len(texts), max(map(len, texts))), fill, np.int64)
+    for i, t in enumerate(texts):
+        out[i, : len(t)] = _codes(t)
+    return out
+
 
-    One row of the score table at a time, each row as whole-array steps.  Equal scores prefer the diagonal, then the
+def alignment_counts_many(
+    pairs: list[tuple[str, str]], match: int, mismatch: int, gap_open: int, gap_extend: int, free_ends: bool
+) -> np.ndarray:
+    """Matches and columns of the best affine-gap alignment of each pair; a gap of n costs open + (n-1)*extend.
+
+    One row of all score tables at a time, each row as whole-array steps.  Equal scores prefer the diagonal, then the
     gap in `b`, then the gap in `a`.  With `free_ends` the gaps at both ends of both sequences are free and not counted.
+    Columns beyond a pair's own are to the right of them and cannot reach back; pairs leave as their last row is done.
     """
-    x, y = _codes(a), _codes(b)
-    m = len(y)
+    order = sorted(range(len(pairs)), key=lambda i: -len(pairs[i][0]))
+    x, y = _padded([pairs[i][0] for i in order], -1), _padded([pairs[i][1] for i in order], -2)
+    n, width = np.array([len(pairs[i][0]) for i in order]), np.array([len(pairs[i][1]) for i in order])
+    m, every = y.shape[1], np.arange(len(order))
     low = -(10**9)
     cols = np.arange(m + 1, dtype=np.int64)
     start = np.zeros(m + 1, np.int64) if free_ends else -(gap_open + gap_extend * (cols - 1))
     start[0] = 0
-    h, hm, hl = start, np.zeros(m + 1, np.int64), (np.zeros(m + 1, np.int64) if free_ends else cols.copy())
-    e, em, el = np.full(m + 1, low, np.int64), np.zeros(m + 1, np.int64), np.zeros(m + 1, np.int64)
-    best = (low, 0, 0)
-    for i in range(1, len(x) + 1):
+
+    def rows(row: np.ndarray) -> np.ndarray:
+        return np.tile(row, (len(order), 1))
+
+    h, hm, hl = rows(start), rows(cols * 0), rows(cols * 0 if free_ends else cols)
+    e, em, el = rows(cols * 0 + low), rows(cols * 0), rows(cols * 0)
+    best = np.tile(np.array([low, 0, 0], np.int64), (len(order), 1))
+    for i in range(1, x.shape[1] + 1):
+        live = int(np.searchsorted(-n, -i, "right"))
+        if live < len(h):
+            h, hm, hl, e, em, el = (t[:live] for t in (h, hm, hl, e, em, el))
         opened = h - gap_open >= e - gap_extend
-        e, em, el = (
-            np.where(opened, h - gap_open, e - gap_extend), np.where(opened, hm, em), np.where(opened, hl, el) + 1,
-        )
-        same = y == x[i - 1]
-        p, pm, pl = np.empty(m + 1, np.int64), np.empty(m + 1, np.int64), np.empty(m + 1, np.int64)
-        p[0], pm[0], pl[0] = (0, 0, 0) if free_ends else (-(gap_open + gap_extend * (i - 1)), 0, i)
-        p[1:], pm[1:], pl[1:] = h[:-1] + np.where(same, match, mismatch), hm[:-1] + same, hl[:-1] + 1
-        up = e[1:] > p[1:]
-        p[1:], pm[1:], pl[1:] = np.where(up, e[1:], p[1:]), np.where(up, em[1:], pm[1:]), np.where(up, el[1:], pl[1:])
-        packed = np.maximum.accumulate((p + cols * gap_extend) * (m + 1) + (m - cols))
-        k = m - packed[:-1] % (m + 1)
-        f = p[k] - gap_open - (cols[1:] - k - 1) * gap_extend
-        side = f > p[1:]
+        e, em, el = np.where(opened, h - gap_open, e - gap_extend), np.where(opened, hm, em), np.where(opened, hl, el) + 1
+        same = y[:live] == x[:live, i - 1 : i]
+        p, pm, pl = np.empty_like(h), np.empty_like(h), np.empty_like(h)
+        p[:, 0], pm[:, 0], pl[:, 0] = (0, 0, 0) if free_ends else (-(gap_open + gap_extend * (i - 1)), 0, i)
+        p[:, 1:], pm[:, 1:], pl[:, 1:] = h[:, :-1] + np.where(same, match, mismatch), hm[:, :-1] + same, hl[:, :-1] + 1
+        up = e[:, 1:] > p[:, 1:]
+        for mine, other in ((p, e), (pm, em), (pl, el)):
+            mine[:, 1:] = np.where(up, other[:, 1:], mine[:, 1:])
+        packed = np.maximum.accumulate((p + cols * gap_extend) * (m + 1) + (m - cols), axis=1)
+        k = m - packed[:, :-1] % (m + 1)
+        f = np.take_along_axis(p, k, 1) - gap_open - (cols[1:] - k - 1) * gap_extend
+        side = f > p[:, 1:]
         h, hm, hl = p.copy(), pm.copy(), pl.copy()
-        h[1:], hm[1:], hl[1:] = np.where(side, f, p[1:]), np.where(side, pm[k], pm[1:]), np.where(side, pl[k] + cols[1:] - k, pl[1:])
-        if free_ends and h[m] > best[0]:
-            best = (int(h[m]), int(hm[m]), int(hl[m]))
-    if not free_ends:
-        return int(hm[m]), int(hl[m])
-    j = int(np.argmax(h))
-    if h[j] > best[0]:
-        best = (int(h[j]), int(hm[j]), int(hl[j]))
-    return best[1], best[2]
+        h[:, 1:] = np.where(side, f, p[:, 1:])
+        hm[:, 1:] = np.where(side, np.take_along_axis(pm, k, 1), pm[:, 1:])
+        hl[:, 1:] = np.where(side, np.take_along_axis(pl, k, 1) + cols[1:] - k, pl[:, 1:])
+        done = np.flatnonzero(n[:live] == i)
+        if free_ends:
+            at = every[:live], width[:live]
+            _better(best, every[:live], h[at], hm[at], hl[at])
+            if len(done):
+                last = np.where(cols <= width[done, None], h[done], low)
+                j = last.argmax(axis=1)
+                _better(best, done, h[done, j], hm[done, j], hl[done, j])
+        elif len(done):
+            at = done, width[done]
+            best[done] = np.stack([h[at], hm[at], hl[at]], axis=1)
+    out = np.empty((len(order), 2), np.int64)
+    out[order] = best[:, 1:]
+    return out
+
+
+def _better(best: np.ndarray, at: np.ndarray, score: np.ndarray, matches: np.ndarray, columns: np.ndarray) -> None:
+    wins = score > best[at, 0]
+    best[at[wins]] = np.stack([score, matches, columns], axis=1)[wins]
+
+
+def alignment_counts(a: str, b: str, match: int, mismatch: int, gap_open: int, gap_extend: int, free_ends: bool) -> tuple[int, int]:
+    matches, columns = alignment_counts_many([(a, b)], match, mismatch, gap_open, gap_extend, free_ends)[0]
+    return int(matches), int(columns)
+
+
+def sequence_identities(left: list[str], right: list[str], rules: AlleleRules = AlleleRules()) -> np.ndarray:
+    """Matches per alignment column: with free ends, or (`ends` is `global`) end to end with the penalties 4/6/2.
+
+    Equal-score alignments can differ in identity by argument order, so the order of the two texts is fixed.  Pairs of
+    about one size are aligned together; a pair larger than that is aligned on its own.
+    """
+    if rules.ends not in ("free", "global"):
+        raise ValueError(f"unknown kind of ends {rules.ends!r}")
+    costs = (rules.match, rules.mismatch, rules.gap_open, rules.gap_extend, True) if rules.ends == "free" else (0, -4, 8, 2, False)
+    out, rest = np.ones(len(left)), []
+    for i, (a, b) in enumerate(zip(left, right, strict=True)):
+        if not a or not b:
+            raise ValueError("missing sequence")
+        if a != b:
+            rest.append((max(len(a), len(b)), i, (min(a, b), max(a, b))))
+    rest.sort(key=lambda r: r[:2])
+    start = 0
+    for stop in range(1, len(rest) + 1):
+        if stop == len(rest) or rest[stop][0] * (stop + 1 - start) > CELLS or rest[stop][0] > 1.25 * rest[start][0] + 8:
+            counts = alignment_counts_many([pair for _, _, pair in rest[start:stop]], *costs)
+            out[[i for _, i, _ in rest[start:stop]]] = np.where(counts[:, 1] > 0, counts[:, 0] / np.maximum(1, counts[:, 1]), 0.0)
+            start = stop
+    return out
 
 
 def sequence_identity(a: str, b: str, rules: AlleleRules = AlleleRules()) -> float:
-    """Matches per alignment column: free ends below `long_bp`, end to end (4/6/2 penalties) from there on."""
-    if not a or not b:
-        raise ValueError("missing sequence")
-    if a == b:
-        return 1.0
-    # Equal-score alignments can differ in identity by argument order, so the order is fixed.
-    a, b = min(a, b), max(a, b)
-    if max(len(a), len(b)) >= rules.long_bp > 0:
-        matches, columns = alignment_counts(a, b, 0, -4, 8, 2, False)
-    else:
-        matches, columns = alignment_counts(a, b, rules.match, rules.mismatch, rules.gap_open, rules.gap_extend, True)
-    return matches / columns if columns else 0.0
+    return float(sequence_identities([a], [b], rules)[0])
 
 
 def identity_udf(rules: AlleleRules = AlleleRules()):
     @F.pandas_udf(DoubleType())
     def identity(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([sequence_identity(p, q, rules) for p, q in zip(a, b, strict=True)], dtype="float64")
+        return pd.Series(sequence_identities(a.tolist(), b.tolist(), rules), dtype="float64")
 
     return identity
 

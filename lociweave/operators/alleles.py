@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,53 +12,42 @@ from pyspark.sql import functions as F
 from ..config import AlleleRules
 from ..functions import scalars as sc
 from ..session import materialize
-from .align import sequence_identity
+from .align import identity_udf
 from .scan import ordered_scan
 
-_OUT = "locus_id {t}, band long, kind_of string, cluster long, fid string, seq_key string, similarity double"
+_OUT = "locus_id {t}, band long, cluster long, fid string, seq_key string"
 
 
 class _Clusters:
-    """Clusters of one locus band while its members stream by; it holds distinct sequences, never the members."""
+    """Clusters of one locus band while its members stream by; it holds sequence keys and the pairs that belong together."""
 
     def __init__(self, rules: AlleleRules) -> None:
         self.rules = rules
-        self.seqs: dict[str, str] = {}
-        self.known: dict[tuple[str, str], tuple[bool, float, float]] = {}
+        self.together: dict[tuple[str, str], tuple[float, float]] = {}  # similarity and length ratio
         self.seeds: list[str] = []
         self.clusters: list[dict[str, int]] = []
         self.by_seed: dict[int, list[int]] = {}
-        self.pool: list[dict[str, list]] = []
-        self.aligned: dict[tuple[str, str], float] = {}
-
-    def pair(self, p: str, q: str) -> tuple[bool, float, float]:
-        """Whether two sequences belong together; the length ratio is checked before any alignment."""
-        key = (p, q) if p <= q else (q, p)
-        if key not in self.known:
-            a, b = self.seqs[key[0]], self.seqs[key[1]]
-            ratio = min(len(a), len(b)) / max(1, len(a), len(b))
-            sim = sequence_identity(a, b, self.rules) if ratio >= self.rules.min_len_ratio else 0.0
-            self.known[key] = (ratio >= self.rules.min_len_ratio and sim >= self.rules.identity, sim, ratio)
-        return self.known[key]
+
+    def pair(self, p: str, q: str) -> tuple[float, float] | None:
+        return (1.0, 1.0) if p == q else self.together.get((p, q) if p < q else (q, p))
 
     def _seed(self, key: str) -> int:
         """The seed a sequence belongs with: the most similar one, then the latest; without any it becomes a seed."""
-        tests = [self.pair(key, seed) for seed in self.seeds]
-        allowed = [i for i, (together, _, _) in enumerate(tests) if together]
-        if not allowed:
+        tests = [(found[0], i) for i, seed in enumerate(self.seeds) if (found := self.pair(key, seed))]
+        if not tests:
             self.seeds.append(key)
             return len(self.seeds) - 1
-        return max(allowed, key=lambda i: (tests[i][1], i))
+        return max(tests)[1]
 
     def _clique(self, key: str, among: list[int]) -> int | None:
         best = None
         for nth, c in enumerate(among):
             total, weight, least = 0.0, 0, 1.0
             for other, n in self.clusters[c].items():
-                ok, sim, ratio = self.pair(key, other)
-                if not ok:
+                found = self.pair(key, other)
+                if found is None:
                     break
-                total, weight, least = total + sim * n, weight + n, min(least, ratio)
+                total, weight, least = total + found[0] * n, weight + n, min(least, found[1])
             else:
                 score = (round(total / weight, 12), least, -nth)
                 if best is None or score > best[0]:
@@ -80,51 +70,6 @@ class _Clusters:
         self.clusters[c][key] = self.clusters[c].get(key, 0) + 1
         return c
 
-    def note(self, c: int, key: str, assembly: bool, reference: bool, tie: tuple) -> None:
-        """Remember, per cluster and sequence, what the representative rules need."""
-        while len(self.pool) <= c:
-            self.pool.append({})
-        entry = self.pool[c].setdefault(key, [0, None, 0, None, 0, None, None])
-        for at, yes in ((0, True), (2, assembly), (4, reference)):
-            if yes:
-                entry[at] += 1
-                if entry[at + 1] is None or tie > entry[at + 1]:
-                    entry[at + 1] = tie
-        if entry[6] is None:
-            entry[6] = tie[-1]
-
-    def representative(self, c: int) -> tuple[str, str]:
-        rule, pool = self.rules.representative, self.pool[c]
-        if rule == "first":
-            key = next(iter(pool))
-            return pool[key][6], key
-        at = 0
-        if rule in ("asm_seq_medoid", "asm_longest") and any(v[2] for v in pool.values()):
-            at = 2
-        elif rule == "ref_first" and any(v[4] for v in pool.values()):
-            at = 4
-        live = {k: v for k, v in pool.items() if v[at]}
-        if rule in ("longest", "asm_longest"):
-            key = max(live, key=lambda k: (live[k][at + 1][2], live[k][at + 1][3]))
-            return live[key][at + 1][3], key
-        best = None
-        for k, v in live.items():
-            total = 10.0 + (v[at] - 1) + sum(w[at] * self._similarity(k, o) for o, w in live.items() if o != k)
-            item = (round(total, 12), v[at + 1])
-            if best is None or item > best[0]:
-                best = (item, k)
-        return best[0][1][3], best[1]
-
-    def _similarity(self, p: str, q: str) -> float:
-        """Identity of any two sequences; what placing has aligned already is not aligned again."""
-        key = (min(p, q), max(p, q))
-        placed = self.known.get(key)
-        if placed is not None and placed[2] >= self.rules.min_len_ratio:
-            return placed[1]
-        if key not in self.aligned:
-            self.aligned[key] = sequence_identity(self.seqs[key[0]], self.seqs[key[1]], self.rules)
-        return self.aligned[key]
-
 
 def length_bands(lengths: DataFrame, min_ratio: float) -> DataFrame:
     """Split the lengths of a locus where neighbours differ too much; no cluster can cross such a gap.
@@ -143,8 +88,9 @@ def cluster_alleles(members: DataFrame, rules: AlleleRules = AlleleRules()) -> D
 
     members: locus_id, fid, label, kind, placed, is_medoid, seq (already oriented to the medoid).
     Bands with one distinct sequence, so also large groups of exact copies, are settled by plain aggregation.
-    The others stream through one task per band in the order the rule prescribes; the task keeps distinct sequences
-    and cluster counts only.
+    For the others all close pairs of distinct sequences are aligned as a table of their own, spread over tasks.  Placing
+    is ordered: members of a band stream by in the order the rule prescribes, and the task looks pairs up in that table.
+    Representatives are aggregates of the same table.
     """
     c = F.col
     keyed = members.withColumns({"seq_key": F.sha2("seq", 256), "length": F.length("seq").cast("long")})
@@ -195,54 +141,103 @@ def _copies(single: DataFrame, rules: AlleleRules) -> DataFrame:
     )
 
 
+def similar_pairs(sequences: DataFrame, rules: AlleleRules = AlleleRules()) -> DataFrame:
+    """p, q (p < q), similarity, ratio: all pairs of distinct sequences of a band whose lengths are close enough.
+
+    sequences: locus_id, band, seq_key, seq, length.  Sequences of close lengths share one of two steps of a length scale,
+    so only those meet; a pair that shares both is kept where it meets first.  Alignments are spread over tasks by pair.
+    """
+    c, key = F.col, ["locus_id", "band"]
+    step = F.floor(F.log(c("length").cast("double")) / F.lit(-math.log(rules.min_len_ratio) * (1 + 1e-9))).cast("long") if rules.min_len_ratio < 1 else c("length")
+    rows = sequences.select(*key, "seq_key", "length", step.alias("own")).withColumn("step", F.explode(F.array(c("own"), c("own") + 1)))
+    left = rows.select(*key, "step", c("seq_key").alias("p"), c("length").alias("n"), c("own").alias("x"))
+    right = rows.select(*key, "step", c("seq_key").alias("q"), c("length").alias("m"), c("own").alias("y"))
+    ratio = F.least("n", "m") / F.greatest(F.lit(1), F.greatest("n", "m"))
+    close = left.join(right, [*key, "step"]).filter((c("p") < c("q")) & (ratio >= rules.min_len_ratio) & (c("step") == F.greatest("x", "y")))
+    return _aligned(close.select(*key, "p", "q", ratio.alias("ratio")), sequences, rules)
+
+
+def _aligned(pairs: DataFrame, sequences: DataFrame, rules: AlleleRules) -> DataFrame:
+    """`pairs` (locus_id, band, p, q, ...) with their similarity."""
+    key, texts = ["locus_id", "band"], sequences.select("locus_id", "band", "seq_key", "seq")
+    both = pairs.join(texts.withColumnsRenamed({"seq_key": "p", "seq": "__a"}), [*key, "p"]).join(texts.withColumnsRenamed({"seq_key": "q", "seq": "__b"}), [*key, "q"])
+    spread = both.repartition(*key, "p", "q")
+    return spread.withColumn("similarity", identity_udf(rules)("__a", "__b")).select(*pairs.columns, "similarity")
+
+
 def _mixed(mixed: DataFrame, sequences: DataFrame, sizes: DataFrame, rules: AlleleRules) -> DataFrame:
+    """Members of bands with several sequences.  Pairs are aligned first; the ordered step looks them up only."""
     c = F.col
     key = ["locus_id", "band"]
-    texts = sequences.join(sizes.filter("distinct_n > 1"), key)
-    blank = {"fid": "string", "seq": "string", "is_asm": "boolean", "is_ref": "boolean", "priority": "bigint", "placed": "int"}
+    texts = sequences.join(sizes.filter("distinct_n > 1").select(*key), key)
+    pairs = materialize(similar_pairs(texts, rules), "pairs")
     order = ["o0", "o1", "o2", "o3", "fid"]
-    head = texts.select(
-        *key, "seq_key", "seq", "length", F.lit(0).alias("o0"), F.lit(0).alias("o1"), F.lit(0).alias("o2"),
-        F.lit(0).cast("bigint").alias("o3"),
-        *[F.lit(None).cast(t).alias(n) for n, t in blank.items() if n != "seq"],
+    head = pairs.filter(c("similarity") >= rules.identity).select(
+        *key, c("p").alias("seq_key"), "q", "similarity", "ratio", F.lit(0).alias("o0"), F.lit(0).alias("o1"), F.lit(0).alias("o2"),
+        F.lit(0).cast("bigint").alias("o3"), F.lit(None).cast("string").alias("fid"),
     )
     body = mixed.select(
-        *key, "seq_key", F.lit(None).cast("string").alias("seq"), "length", F.lit(1).alias("o0"), "o1", "o2", "o3",
-        *[c(n) for n in blank if n != "seq"],
+        *key, "seq_key", F.lit(None).cast("string").alias("q"), F.lit(None).cast("double").alias("similarity"),
+        F.lit(None).cast("double").alias("ratio"), F.lit(1).alias("o0"), "o1", "o2", "o3", "fid",
     )
     rows = head.unionByName(body).repartition(*key).sortWithinPartitions(*key, *order)
 
     def run(group: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = _Clusters(rules)
-        locus, band = group
         for frame in frames:
             out = []
             for r in frame.itertuples(index=False):
                 if r.o0 == 0:
-                    state.seqs[r.seq_key] = r.seq
-                    continue
-                cluster = state.place(r.seq_key)
-                state.note(cluster, r.seq_key, r.is_asm, r.is_ref, (r.priority, r.placed, r.length, r.fid))
-                out.append((locus, band, "member", cluster, r.fid, r.seq_key, None))
+                    state.together[r.seq_key, r.q] = r.similarity, r.ratio
+                else:
+                    out.append((*group, state.place(r.seq_key), r.fid, r.seq_key))
             yield pd.DataFrame(out, columns=names)
-        tail = []
-        for cluster in range(len(state.clusters)):
-            rep, rep_key = state.representative(cluster)
-            tail.append((locus, band, "rep", cluster, rep, rep_key, None))
-            for seq_key in state.clusters[cluster]:
-                tail.append((locus, band, "sim", cluster, None, seq_key, state._similarity(seq_key, rep_key)))
-        yield pd.DataFrame(tail, columns=names)
 
     schema = _OUT.format(t=mixed.schema["locus_id"].dataType.simpleString())
     names = [part.split()[0] for part in schema.split(", ")]
-    done = materialize(rows.groupBy(*key).applyInPandas(run, schema), "alleles")
-    reps = done.filter("kind_of = 'rep'").select(*key, "cluster", c("fid").alias("allele_id"))
-    sims = done.filter("kind_of = 'sim'").select(*key, "cluster", "seq_key", "similarity")
-    placed = done.filter("kind_of = 'member'").select(*key, "cluster", "fid")
-    return (
-        mixed.join(placed, [*key, "fid"]).join(reps, [*key, "cluster"]).join(sims, [*key, "cluster", "seq_key"])
-        .withColumn("is_rep", c("fid") == c("allele_id")).select(*_RESULT)
-    )
+    placed = materialize(rows.groupBy(*key).applyInPandas(run, schema), "alleles")
+    full = materialize(mixed.join(placed.drop("seq_key"), [*key, "fid"]), "placed")
+    known = _with_cluster_pairs(full, pairs, texts, rules)
+    reps = _representatives(full, known, rules)
+    same = (c("seq_key") == c("rep_key"))
+    joined = full.join(reps, [*key, "cluster"]).withColumns({"p": F.least("seq_key", "rep_key"), "q": F.greatest("seq_key", "rep_key")})
+    out = joined.join(known, [*key, "cluster", "p", "q"], "left").withColumns({
+        "similarity": F.when(same, 1.0).otherwise(c("similarity")), "is_rep": c("fid") == c("allele_id"),
+    })
+    return out.select(*_RESULT)
+
+
+def _with_cluster_pairs(full: DataFrame, pairs: DataFrame, texts: DataFrame, rules: AlleleRules) -> DataFrame:
+    """cluster, p, q, similarity of all pairs of sequences in a cluster; lengths too far apart to be placed together are aligned here."""
+    key = ["locus_id", "band"]
+    keys = full.select(*key, "cluster", "seq_key").distinct()
+    inside = keys.withColumnRenamed("seq_key", "p").join(keys.withColumnRenamed("seq_key", "q"), [*key, "cluster"]).filter("p < q")
+    found = materialize(inside.join(pairs.drop("ratio"), [*key, "p", "q"], "left"), "cluster_pairs")
+    late = _aligned(found.filter("similarity is null").drop("similarity"), texts, rules)
+    return materialize(found.filter("similarity is not null").unionByName(late), "known_pairs")
+
+
+def _representatives(full: DataFrame, known: DataFrame, rules: AlleleRules) -> DataFrame:
+    """allele_id and rep_key per cluster."""
+    c, key = F.col, ["locus_id", "band", "cluster"]
+    rule = rules.representative
+    if rule == "first":
+        first = F.min_by(F.struct("fid", "seq_key"), F.struct("o1", "o2", "o3", "fid"))
+        return full.groupBy(*key).agg(first.alias("r")).select(*key, c("r.fid").alias("allele_id"), c("r.seq_key").alias("rep_key"))
+    flag = c("is_asm") if rule in ("asm_seq_medoid", "asm_longest") else c("is_ref") if rule == "ref_first" else F.lit(True)
+    any_flag = full.groupBy(*key).agg(F.max(flag).alias("any_flag"))
+    live = full.join(any_flag, key).filter(flag | ~c("any_flag"))
+    tie = F.struct("priority", "placed", "length", "fid")
+    keys = live.groupBy(*key, "seq_key").agg(F.count(F.lit(1)).alias("n"), F.max(tie).alias("tie"))
+    if rule in ("longest", "asm_longest"):
+        score = F.struct("tie.length", "tie.fid")
+    else:
+        both = known.select(*key, c("p").alias("seq_key"), c("q").alias("other"), "similarity").unionByName(known.select(*key, c("q").alias("seq_key"), c("p").alias("other"), "similarity"))
+        others = keys.select(*key, c("seq_key").alias("other"), c("n").alias("other_n"))
+        sums = both.join(others, [*key, "other"]).groupBy(*key, "seq_key").agg(F.sum(c("other_n") * c("similarity")).alias("sum"))
+        keys = keys.join(sums, [*key, "seq_key"], "left").withColumn("total", F.round(10.0 + (c("n") - 1) + F.coalesce("sum", F.lit(0.0)), 12))
+        score = F.struct("total", "tie")
+    return keys.groupBy(*key).agg(F.max_by(F.struct("tie.fid", "seq_key"), score).alias("r")).select(*key, c("r.fid").alias("allele_id"), c("r.seq_key").alias("rep_key"))
 
 
 def allele_catalogue(clustered: DataFrame, total_assemblies: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lociweave import AlleleRules, CallRules
 from lociweave.operators import alleles as al
 from lociweave.operators import genotype as gt
-from lociweave.operators.align import alignment_counts, parse_cigar, replay_cigar, sequence_identity
+from lociweave.operators.align import alignment_counts, alignment_counts_many, parse_cigar, replay_cigar, sequence_identity
 
 
 def _slow_score(a, b, match, mismatch, gap_open, gap_extend, free):
@@ -76,7 +76,7 @@ def _serial_clique(members, rules):
                 x, y = (r[6], o[6])
                 ratio = min(len(x), len(y)) / max(1, len(x), len(y))
                 least = min(least, ratio)
-                value = al.sequence_identity(x, y, rules) if ratio >= rules.min_len_ratio else 0.0
+                value = sequence_identity(x, y, rules) if ratio >= rules.min_len_ratio else 0.0
                 if ratio < rules.min_len_ratio or value < rules.identity:
                     ok = False
                     break
@@ -232,3 +232,94 @@ def test_identity_ratio():
     assert sequence_identity("ACGT", "ACGT") == 1.0
     with pytest.raises(ValueError):
         sequence_identity("", "A")
+
+
+def _serial_alleles(members, rules):
+    """Clusters of one locus in every mode and their representatives, one member and one pair after another."""
+    rank = {"assembly": 1, "reference_comparison": 2, "reference_primary": 3}
+    order = sorted(members, key=lambda r: (not r[5], r[3].startswith("reference_"), -len(r[6]), r[1]))
+
+    def pair(x, y):
+        ratio = min(len(x), len(y)) / max(len(x), len(y))
+        value = sequence_identity(x, y, rules) if ratio >= rules.min_len_ratio else 0.0
+        return (value, ratio) if ratio >= rules.min_len_ratio and value >= rules.identity else None
+
+    seeds, clusters = [], []  # clusters: seed number, members
+    for r in order:
+        group = 0
+        if rules.mode != "allpairs_clique":
+            near = [(found[0], i) for i, s in enumerate(seeds) if (found := pair(r[6], s))]
+            group = max(near)[1] if near else len(seeds)
+            seeds += [] if near else [r[6]]
+        best = None
+        for nth, (seed, inside) in enumerate([c for c in clusters if c[0] == group]):
+            found = [pair(r[6], o[6]) for o in inside]
+            if rules.mode == "greedy":
+                best = (None, inside)
+            elif None not in found:
+                score = (round(sum(v for v, _ in found) / len(found), 12), min(x for _, x in found), -nth)
+                if best is None or score > best[0]:
+                    best = (score, inside)
+        if best is None:
+            clusters.append((group, [r]))
+        else:
+            best[1].append(r)
+    out = {}
+    for _, inside in clusters:
+        rule, live = rules.representative, inside
+        wanted = {"asm_seq_medoid": lambda r: r[3] == "assembly", "asm_longest": lambda r: r[3] == "assembly", "ref_first": lambda r: r[3] != "assembly"}.get(rule)
+        if wanted and any(map(wanted, inside)):
+            live = list(filter(wanted, inside))
+        tie = lambda r: (rank[r[3]], int(r[4]), len(r[6]), r[1])
+        firsts = {s: max((r for r in live if r[6] == s), key=tie) for s in {r[6] for r in live}}
+        if rule == "first":
+            rep = inside[0]
+        elif rule in ("longest", "asm_longest"):
+            rep = max(firsts.values(), key=lambda r: (len(r[6]), r[1]))
+        else:
+            rep = max(firsts.values(), key=lambda r: (round(10 + sum(sequence_identity(r[6], o[6], rules) for o in live) - 1, 12), tie(r)))
+        out.update({r[1]: (rep[1], round(sequence_identity(r[6], rep[6], rules), 9)) for r in inside})
+    return out
+
+
+@pytest.mark.parametrize(
+    "mode, representative",
+    [("greedy", "asm_seq_medoid"), ("greedy", "first"), ("greedy_clique", "ref_first"), ("greedy_clique", "longest"), ("allpairs_clique", "seq_medoid"), ("allpairs_clique", "asm_longest")],
+)
+def test_modes_and_representatives_equal_serial_ones(spark, mode, representative):
+    rng = random.Random(len(mode) + len(representative))
+    rows = []
+    for locus in range(2):
+        base = ["".join(rng.choice("ACGT") for _ in range(n)) for n in (20, 24, 27, 60)]
+        for i in range(16):
+            seq = list(rng.choice(base))
+            for _ in range(rng.choice([0, 1, 2, 4])):
+                seq[rng.randrange(len(seq))] = rng.choice("ACGT")
+            kind = rng.choice(["assembly"] * 3 + ["reference_primary", "reference_comparison"])
+            rows.append((locus, f"m{locus}_{i:02d}", f"s{i % 5}", kind, rng.random() < 0.5, i == 3, "".join(seq[: rng.choice([len(seq), len(seq) - 4])])))
+    df = spark.createDataFrame(rows, "locus_id long, fid string, label string, kind string, placed boolean, is_medoid boolean, seq string")
+    rules = AlleleRules(mode=mode, representative=representative, identity=0.85)
+    want = {}
+    for locus in range(2):
+        want |= _serial_alleles([r for r in rows if r[0] == locus], rules)
+    got = {r.fid: (r.allele_id, round(r.similarity, 9)) for r in al.cluster_alleles(df, rules).collect()}
+    assert got == want and len({a for a, _ in want.values()}) > 2
+
+
+@pytest.mark.parametrize("free", [True, False])
+def test_many_alignments_equal_single_ones(free):
+    rng = random.Random(7)
+    pairs = [tuple("".join(rng.choice("ACG") for _ in range(rng.randint(1, 40))) for _ in range(2)) for _ in range(60)]
+    costs = (2, -3, 5, 2, free) if free else (0, -4, 8, 2, free)
+    together = alignment_counts_many(pairs, *costs)
+    for (a, b), (matches, columns) in zip(pairs, together.tolist()):
+        assert (matches, columns) == alignment_counts(a, b, *costs)
+        if not free:  # end to end the counts give the score up to the gaps: a full table must agree on it
+            assert columns >= max(len(a), len(b)) and matches <= min(len(a), len(b))
+
+
+def test_ends_are_a_rule_of_their_own():
+    a, b = "ACGTACGTAC" * 3, "GT" + "ACGTACGTAC" * 3
+    assert sequence_identity(a, b) == 1.0 and sequence_identity(a, b, AlleleRules(ends="global")) == 30 / 32
+    with pytest.raises(ValueError, match="ends"):
+        sequence_identity(a, b, AlleleRules(ends="other"))
