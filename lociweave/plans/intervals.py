@@ -151,7 +151,8 @@ RESOLVED = f"""
 {HITS},
 rk AS (SELECT *, row_number() OVER (PARTITION BY fid ORDER BY identity DESC, coverage DESC, aligned_bp DESC, block_n, span_bp, chrom DESC, start0, end0, strand DESC) AS rn,
               count(*) OVER (PARTITION BY fid) AS hit_n FROM hit),
-two AS (SELECT b.*, s.identity AS i2, s.coverage AS c2, s.aligned_bp AS a2 FROM (SELECT * FROM rk WHERE rn = 1) b LEFT JOIN (SELECT * FROM rk WHERE rn = 2) s USING (fid)),
+nx AS (SELECT *, lead(identity) OVER o AS i2, lead(coverage) OVER o AS c2, lead(aligned_bp) OVER o AS a2 FROM rk WINDOW o AS (PARTITION BY fid ORDER BY rn)),
+two AS (SELECT * FROM nx WHERE rn = 1),
 lab AS (SELECT *, CASE WHEN i2 IS NOT NULL AND abs(identity - i2) <= 0.001 AND abs(coverage - c2) <= 0.01 AND abs(aligned_bp - a2) <= 10 THEN 'ambiguous_tie'
                        WHEN coverage < 0.5 THEN 'low_quality' WHEN hit_n = 1 THEN 'unique' ELSE 'multi_clear_primary' END AS label FROM two),
 res AS (SELECT fid, label, hit_n, identity, coverage, aligned_bp, span_bp, block_n,

@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load_all() -> None:
-    from . import calls, contracts, files, graphs, intervals, scalars, similarity, statistics  # noqa: F401
+    from . import calls, contracts, evidence, files, graphs, intervals, scalars, similarity, statistics  # noqa: F401
