@@ -4,7 +4,7 @@ The library splits a text by the vocabulary's pattern and merges the bytes of ev
 where the pattern always starts a new match, so that no single call of the library sees an unbounded text.
 
 Defined results: a null or empty text has no ids and decodes to no bytes; repeated rows get one result each; a null key is kept;
-other input columns are not read. Ids are stored as little-endian unsigned 32-bit integers.
+an empty table gives an empty result; other input columns are not read, so their names do no harm. Ids are stored as little-endian unsigned 32-bit integers.
 """
 
 from __future__ import annotations

@@ -14,7 +14,9 @@ The documents are never shuffled. The items travel to the tasks in blocks of bou
 a growing benchmark costs passes, not memory.
 
 Defined results: items or documents without words match nothing; repeated item rows with the same id and text count once; repeated
-document rows are reported each; null keys are kept; other columns are not read.
+document rows are reported each; null keys are kept; texts of any length are searched whole; an empty table of either kind matches
+nothing; other columns are not read (`clean` returns them as they are). The index of all items is on the driver, block by block, and every
+block is a pass over the documents.
 """
 
 from __future__ import annotations

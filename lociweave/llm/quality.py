@@ -10,7 +10,9 @@ to the driver, whatever their number. Nothing is sampled.
 
 Defined results: a null text has no words; statistics per word or character are 0 where there are none; without labels of both kinds
 there are no rules and the base rules decide alone; several labels of one document: the lowest holds; null labels are ignored;
-repeated rows are judged alike. Words are runs of characters other than the six ASCII white-space characters.
+repeated rows are judged alike; texts of any length are judged whole; an empty table gives an empty result, empty labels no rules;
+other columns are not read (`keep` returns them as they are). Rules are learned until none reaches `precision` on `min_support` rows, and
+there are at most `max_rules` of at most `max_conditions` conditions, which keeps them readable: parameters of the method. Words are runs of characters other than the six ASCII white-space characters.
 """
 
 from __future__ import annotations

@@ -4,7 +4,8 @@ Pass one scatters the records over buckets of bounded size by a seeded hash of t
 can skew: a third of all rows with one key spreads like the rest. Pass two shuffles every bucket by Fisher-Yates (the seeded
 `shuffle` function over the bucket's records in a fixed order) and writes it. The buckets one after another are a random
 permutation of all records; shards are equal cuts of it, so their row counts differ by one at most (law `rows`), and a record's slot
-is its place in its shard. A table with a row per bucket carries the places over.
+is its place in its shard. A table with a row per bucket carries the places over, in blocks of buckets. A task has many buckets once there
+are more of them than the session has shuffle partitions. The permutation depends on how the input is split, as positions do.
 
 The records are shuffled and written once. Defined results: null texts have no bytes; repeated rows and null keys are records like any
 other; an empty table gives an empty result; all input columns are kept, in a struct, so their names cannot clash.
@@ -22,6 +23,8 @@ from ..session import scratch_root
 
 #: Bytes of text that a bucket holds, about.
 BUCKET_BYTES = 16 << 20
+#: Buckets whose sizes are summed up together.
+BLOCK = 4096
 
 
 def scatter(docs: DataFrame, path: str, text: str = "text", seed: int = 42, bucket_bytes: int = BUCKET_BYTES) -> None:
@@ -32,7 +35,8 @@ def scatter(docs: DataFrame, path: str, text: str = "text", seed: int = 42, buck
     placed = docs.select(record, F.monotonically_increasing_id().alias("row"))
     placed = placed.select("record", F.xxhash64(F.lit(seed), "row").alias("draw")).withColumn("bucket", F.pmod("draw", F.lit(buckets)).cast("int"))
     # The draw puts the records of a bucket in one order, whichever way they arrive; ties do not occur, as it permutes 64 bits.
-    groups = placed.repartition(buckets, "bucket").groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("draw", "record"))).alias("records"))
+    tasks = min(buckets, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    groups = placed.repartition(tasks, "bucket").groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("draw", "record"))).alias("records"))
     shuffled = groups.sortWithinPartitions("bucket").select("bucket", F.posexplode(F.shuffle("records", seed)).alias("place", "drawn"))
     shuffled.select("bucket", "place", "drawn.record").write.parquet(path)
 
@@ -41,10 +45,15 @@ def shards(spark: SparkSession, path: str, count: int = 8) -> DataFrame:
     """record, shard, slot of what `scatter` wrote."""
     buckets = spark.read.parquet(path)
     sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("block", F.floor(F.col("bucket") / BLOCK))
+    before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("block").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     total = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sizes = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"), F.sum("n").over(total).alias("rows"))
-    rows = buckets.join(F.broadcast(sizes), "bucket")  # a row per bucket
+    blocks = sizes.groupBy("block").agg(F.sum("n").alias("n"))  # a row per block of buckets
+    blocks = blocks.select("block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"), F.sum("n").over(total).alias("rows"))
+    first = F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    sizes = sizes.join(F.broadcast(blocks), "block").select("bucket", first.alias("first"), "rows")
+    rows = buckets.join(sizes, "bucket")
     shard = F.expr(f"cast((first + place) * {count} div rows as int)")
     start = F.expr(f"(shard * rows + {count - 1}) div {count}")
     return rows.withColumn("shard", shard).select("record", "shard", (F.col("first") + F.col("place") - start).alias("slot"))

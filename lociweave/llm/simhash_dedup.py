@@ -11,7 +11,8 @@ leaves at most 2 ** 18 holders for 64 bits and k = 3; such a group emits a spann
 
 Defined results: null and empty texts have fingerprint zero, which links like any other; with fewer words than a shingle the whole
 sequence is the shingle; repeated shingles count each time; repeated rows are documents of their own; a null key counts as no
-candidate for the smallest key of its component. Other columns are not read.
+candidate for the smallest key of its component; texts of any length count whole; an empty table gives an empty result. Other columns are
+not read (`representatives` returns them as they are).
 """
 
 from __future__ import annotations

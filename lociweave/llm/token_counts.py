@@ -8,7 +8,8 @@ A merge can only happen inside a piece of the vocabulary. Where no piece holds a
 may be cut between them; runs between a word and the next space mark are such places, which the vocabulary is asked for when it is
 loaded. Equal runs are counted once per task and remembered in a bounded table.
 
-Defined results: null and empty texts have 0 bytes and 0 tokens; every input row gives one row; other columns are not read.
+Defined results: null and empty texts have 0 bytes and 0 tokens; every input row gives one row, an empty table none; long texts are counted whole;
+other columns are not read, so their names do no harm.
 """
 
 from __future__ import annotations

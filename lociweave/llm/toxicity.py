@@ -11,7 +11,8 @@ stage over all texts; the model in it has at most 2 ** 18 weights.
 
 Defined results: null and empty texts score by the intercept alone; without training labels of both kinds every score is the share
 of toxic ones among the training labels (0.5 without labels); several labels of one document: the highest holds; rows with a null key or label do not
-train; repeated rows train and score each.
+train; repeated rows train and score each; texts of any length are scored whole; an empty table gives an empty result; other columns are
+not read, so their names do no harm.
 """
 
 from __future__ import annotations

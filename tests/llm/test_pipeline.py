@@ -72,3 +72,21 @@ def test_stages(spark):
         for r in stage(spark, again, FOLDER).collect():
             sizes[r.doc_id] += 1
         assert sizes
+
+
+def test_awkward_documents(spark):
+    """Null, empty and very long texts, ties, repeated rows, and extra columns with names that the stages use inside."""
+    from llm_helpers import CLASHING, awkward, frame, prose
+
+    rows = awkward() + [(500 + i, prose(i, 120) + "\n" + prose(3, 90)) for i in range(12)] + [(500, prose(0, 120) + "\n" + prose(3, 90)), (None, prose(7, 200))]
+    docs = frame(spark, rows).withColumnRenamed("n", "other").selectExpr("*", "'en' as lang", "'s' as source", "length(text) as n_chars")
+    kept, sizes = docs, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, kept, FOLDER)
+        assert out.columns == docs.columns, name
+        kept = spark.createDataFrame(out.collect(), docs.schema)
+        assert all(r.n_chars == len(r.text) and [r[c] for c in CLASHING if c != "n"] == [i for i, c in enumerate(CLASHING) if c != "n"] for r in kept.collect() if r.text)
+        sizes.append(kept.count())
+    assert len(rows) > sizes[0] == sizes[1] > sizes[2] >= sizes[3] > 0
+    tokens = corpus_pipeline.STAGES[-1][1](spark, kept, FOLDER).collect()
+    assert len(tokens) == sizes[3] and all(r.n_tokens * 4 == len(r.ids) for r in tokens)

@@ -50,3 +50,15 @@ def test_query(spark):
     got = queries.op5_sharding(spark, folder).collect()
     assert {r.doc_id for r in got} == set(docs) and len(got) == len(docs)
     assert all((r.size, r.text_crc32, r.law, r.grown_shard) == (len(docs[r.doc_id]) + 1, zlib.crc32(docs[r.doc_id]), "rows", None) for r in got)
+
+
+def test_more_buckets_than_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 7)
+    rows = [(i, "x" * 40) for i in range(600)]
+    sharding.scatter(frame(spark, rows), str(tmp_path / "s"), bucket_bytes=200)
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    assert stored.select("bucket").distinct().count() > 100
+    assert len(list((tmp_path / "s").glob("part-*"))) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = sharding.shards(spark, str(tmp_path / "s"), 8).collect()
+    assert sorted((r.shard, r.slot) for r in got) == [(s, i) for s in range(8) for i in range(75)]
+    assert sorted(r.record.doc_id for r in got) == list(range(600))
