@@ -1,6 +1,11 @@
 """Documents to tokens: quality rules, line dedup, near-duplicate removal, benchmark decontamination, byte-level BPE.
 
 Every stage takes (spark, docs, sf_dir) and works on all its predecessor kept. All but the last return the columns of `documents`.
+
+Defined results: a null or empty text fails the base rules and goes in the first stage; later stages, given such texts, keep them (line
+dedup keeps nulls null, near-dedup keeps one document of all texts without words); repeated rows are judged alike, equal lines of one key and
+text count as one document, and near-dedup keeps one row of a group, that of the smallest key (null keys last); texts of any length are
+worked on whole; an empty table stays empty through all stages; extra columns of `documents` pass through under their names.
 """
 
 from __future__ import annotations
@@ -20,7 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def fuzzy_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go; every document stays, with its new length."""
-    kept = line_dedup.deduplicate_lines(docs).select(*docs.columns)
+    counts = {c: f"__own_{c}" for c in ("lines_total", "lines_dropped") if c in docs.columns}  # names that the operator adds
+    kept = line_dedup.deduplicate_lines(docs.withColumnsRenamed(counts)).select(*[F.col(counts.get(c, c)).alias(c) for c in docs.columns])
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
