@@ -89,10 +89,10 @@ def shingle_weights(spark, d):
     return weights.select(F.sha2("shingle", 256).alias("shingle"), "n", "weight")
 
 
-@query("a03_weighted_shingles", f"WITH {WEIGHTS} SELECT fid, count(*) AS n, round(sum(weight), 9) AS total FROM fw GROUP BY 1")
+@query("a03_weighted_shingles", f"WITH {WEIGHTS} SELECT fid, count(*) AS n, round(sum(weight), 6) AS total FROM fw GROUP BY 1")
 def weighted_shingles(spark, d):
     long = sim.weighted_shingles(_docs(spark, d))
-    return long.groupBy("fid").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 9).alias("total"))
+    return long.groupBy("fid").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("weight"), 6).alias("total"))
 
 
 @query("j11_anchor_leaders", f"WITH {LEADERS} SELECT * FROM pa")
@@ -100,12 +100,12 @@ def anchor_leaders(spark, d):
     return sim.anchor_leaders(_docs(spark, d))
 
 
-@query("c01_context_similarity", f"WITH {MEASURES} SELECT a, b, round(ctx, 9) AS ctx FROM me")
+@query("c01_context_similarity", f"WITH {MEASURES} SELECT a, b, round(ctx, 6) AS ctx FROM me")
 def context_similarity(spark, d):
     docs = _docs(spark, d)
     pairs = materialize(sim.anchor_leaders(docs), "pairs")
     ctx = sim.pair_context(pairs, materialize(sim.weighted_shingles(docs), "weighted"))
-    return ctx.select("a", "b", F.round("ctx", 9).alias("ctx"))
+    return ctx.select("a", "b", F.round("ctx", 6).alias("ctx"))
 
 
 @query("a06_shared_bases", f"WITH {MEASURES} SELECT a, b, shared_bp FROM me")
@@ -188,13 +188,13 @@ sm AS (SELECT fid, medoid_fid, sum(CASE WHEN list_contains(fwd, shingle) AND lis
               sum(CASE WHEN list_contains(fwd, shingle) OR list_contains(target, shingle) THEN coalesce(weight, 1) ELSE 0 END) AS fu,
               sum(CASE WHEN list_contains(rev, shingle) AND list_contains(target, shingle) THEN coalesce(weight, 1) ELSE 0 END) AS ri,
               sum(CASE WHEN list_contains(rev, shingle) OR list_contains(target, shingle) THEN coalesce(weight, 1) ELSE 0 END) AS ru FROM lg LEFT JOIN wt USING (shingle) GROUP BY 1, 2)
-SELECT fid, medoid_fid, round(fi / fu, 9) AS ctx_fwd, round(ri / ru, 9) AS ctx_rev, CAST(CASE WHEN round(ri / ru, 12) > round(fi / fu, 12) THEN -1 ELSE 1 END AS BIGINT) AS orientation FROM sm""")
+SELECT fid, medoid_fid, round(fi / fu, 6) AS ctx_fwd, round(ri / ru, 6) AS ctx_rev, CAST(CASE WHEN round(ri / ru, 12) > round(fi / fu, 12) THEN -1 ELSE 1 END AS BIGINT) AS orientation FROM sm""")
 def orientation(spark, d):
     docs = _docs(spark, d)
     weights = materialize(sim.shingle_weights(sim.shingle_frequencies(docs), docs.count()), "weights")
     leads = docs.groupBy("source").agg(F.min_by("fid", "ord").alias("medoid_fid"))
     out = sim.orientation(docs, docs.select("fid", "source").join(leads, "source").select("fid", "medoid_fid"), weights)
-    return out.select("fid", "medoid_fid", F.round("ctx_fwd", 9).alias("ctx_fwd"), F.round("ctx_rev", 9).alias("ctx_rev"), "orientation")
+    return out.select("fid", "medoid_fid", F.round("ctx_fwd", 6).alias("ctx_fwd"), F.round("ctx_rev", 6).alias("ctx_rev"), "orientation")
 
 
 def seed_loci(spark, d):
