@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import intervals as iv
+from ..session import materialize
 from .interval_join import interval_join
 from .scan import top_per_key
 
@@ -39,6 +40,7 @@ def best_reference(queries: DataFrame, references: DataFrame) -> DataFrame:
         iv.gap1(c("start1"), c("end1"), c("ref_start1"), c("ref_end1")).alias("gap"),
         r_len.alias("ref_len"),
     )
+    scored = materialize(scored, "candidates")  # ranked and counted
     order = [
         c("overlap_bp").desc(), c("ro").desc(), c("size_ratio").desc(), c("gap").asc(), c("ref_len").asc(),
         c("ref_fid").desc(),
@@ -67,6 +69,9 @@ def best_reference_by_insertion(insertions: DataFrame, references: DataFrame) ->
     scored = pairs.withColumn("length", F.abs("sv_len")).withColumn(
         "margin", F.least(c("pos1") - c("ref_start1"), c("ref_end1") - c("pos1"))
     ).withColumn("ref_len", c("ref_end1") - c("ref_start1") + 1)
+    scored = materialize(
+        scored.select("fid", "length", "overlap_bp", "span_bp", "sv_id", "pos1", "margin", "ref_len", "ref_fid"), "candidates"
+    )
     order = [
         c("length").desc(), c("overlap_bp").desc(), c("span_bp").desc(), c("sv_id").desc(),
         c("margin").desc(), c("ref_len").asc(), c("ref_fid").desc(),

@@ -9,6 +9,7 @@ from lociweave.operators import interval_join as ij
 from lociweave.operators.scan import global_rank, ordered_scan
 from lociweave.operators.similarity import salted_join
 from lociweave.operators.sites import cluster_sites
+from lociweave.session import materialize
 
 
 def _rows(seed, n):
@@ -106,3 +107,36 @@ def test_site_clusters_equal_union_find(spark, window):
     df = spark.createDataFrame(rows, "chrom string, start1 long, end1 long, ordinal long, source string")
     got = {r.ordinal: (r.cluster_ord, r.cluster_n) for r in cluster_sites(df, window).collect()}
     assert got == want
+
+
+def test_interval_join_shuffles_each_side_once_and_writes_it_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [("xy"[i % 2], f"i{i}", i * 3, i * 3 + i % 40) for i in range(400)]
+        lhs = materialize(spark.createDataFrame(rows, "c string, a string, ls long, le long"), "given")
+        rhs = spark.createDataFrame(rows, "c string, b string, rs long, re long")
+        out = ij.interval_join(lhs, rhs, ["c"], ("ls", "le"), ("rs", "re"))
+        plan = out._jdf.queryExecution().sparkPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2 and "/given-" in str(out.inputFiles())
+        got = sorted((r.a, r.b) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == sorted((a, b) for c, a, s, e in rows for d, b, t, f in rows if c == d and s < f and t < e)
+
+
+def test_interval_join_of_one_crowded_cell(spark):
+    lhs = spark.createDataFrame([("x", i, 10, 12) for i in range(60)] + [("x", 60, 9000, 9010)], "c string, a long, ls long, le long")
+    rhs = spark.createDataFrame([("x", i, 11, 15) for i in range(3)] + [("x", 3, 9005, 9006)], "c string, b long, rs long, re long")
+    got = sorted((r.a, r.b) for r in ij.interval_join(lhs, rhs, ["c"], ("ls", "le"), ("rs", "re"), hot_rows=7).collect())
+    assert got == sorted([(a, b) for a in range(60) for b in range(3)] + [(60, 3)])
+
+
+def test_interval_join_of_very_long_ranges(spark):
+    far = 1 << 62
+    left = [("x", "whole", -far, far - 1), ("x", "up", 0, 2 * far - 1), ("x", "point", 5, 5), ("x", "top", far + 9, far + 11)]
+    right = [("x", "low", 3, 9), ("x", "high", far + 10, far + 20), ("x", "below", -9, -3), ("x", "wide", -5, far)]
+    lhs = spark.createDataFrame(left, "c string, a string, ls long, le long")
+    rhs = spark.createDataFrame(right, "c string, b string, rs long, re long")
+    got = sorted((r.a, r.b) for r in ij.interval_join(lhs, rhs, ["c"], ("ls", "le"), ("rs", "re")).collect())
+    assert got == sorted((a, b) for _, a, s, e in left for _, b, t, f in right if s < f and t < e)
