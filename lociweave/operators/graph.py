@@ -195,13 +195,22 @@ def path_violations(records: DataFrame, nodes: DataFrame, table: DataFrame) -> D
     return reduce(DataFrame.unionByName, [rows.distinct().toDF("gfa_path_id").withColumn("problem", F.lit(name)) for rows, name in problems])
 
 
-def edge_status(steps: DataFrame, table: DataFrame, path_key: str, order: tuple[str, ...]) -> DataFrame:
-    """Consecutive steps of each path with the status of the link between them."""
+def edges(steps: DataFrame, path_key: str, order: tuple[str, ...]) -> DataFrame:
+    """Consecutive steps of each path as the key of the link between them."""
     packed = steps.withColumn("__me", F.struct("segment", F.when(F.col("rev") == 0, "+").otherwise("-").alias("sign")))
     scanned = ordered_scan(packed, [path_key], list(order), {"__was": ("lag", "__me")}).filter(F.col("__was").isNotNull())
     key = sc.link_key(F.col("__was.segment"), F.col("__was.sign"), F.col("__me.segment"), F.col("__me.sign"))
-    edges = scanned.select(path_key, *order, key.alias("key"))
-    return edges.join(table, "key", "left").withColumn("status", F.coalesce("status", F.lit("missing_link")))
+    return scanned.select(path_key, *order, key.alias("key"))
+
+
+def with_link_status(found: DataFrame, table: DataFrame) -> DataFrame:
+    """`edges` with the status of their link."""
+    return found.join(table, "key", "left").withColumn("status", F.coalesce("status", F.lit("missing_link")))
+
+
+def edge_status(steps: DataFrame, table: DataFrame, path_key: str, order: tuple[str, ...]) -> DataFrame:
+    """Consecutive steps of each path with the status of the link between them."""
+    return with_link_status(edges(steps, path_key, order), table)
 
 
 def path_totals(unfolded: DataFrame, path_key: str = "path_id") -> DataFrame:

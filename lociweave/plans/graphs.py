@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..config import FeatureRules
-from ..functions import scalars as sc
 from ..operators import genotype as gt
 from ..operators import graph as g
 from ..operators.scan import ordered_scan
+from ..session import materialize
 from . import bridges as b
 from .registry import query
 
@@ -85,29 +85,27 @@ lt AS (SELECT from_name, from_sign, to_name, to_sign, CASE WHEN count(*) <> 1 TH
 """
 
 
-def _links(spark, d):
+def _edges(spark, d):
     steps, order = b.order_edges(spark, d)
-    packed = steps.withColumn("me", F.struct("segment", F.when(F.col("rev") == 0, "+").otherwise("-").alias("sign")))
-    scanned = ordered_scan(packed, ["l_orderkey"], list(order), {"was": ("lag", "me")}).filter("was is not null")
-    key = sc.link_key(F.col("was.segment"), F.col("was.sign"), F.col("me.segment"), F.col("me.sign"))
-    rows = scanned.filter("l_linestatus = 'O'").select(
-        key.alias("key"), F.when(F.col("l_orderkey") % 11 == 0, "5M").otherwise("0M").alias("overlap")
-    )
-    return g.link_table(rows)
+    return g.edges(steps, "l_orderkey", order)
+
+
+def _links(edges):
+    overlap = F.when(F.col("l_orderkey") % 11 == 0, "5M").otherwise("0M")
+    return g.link_table(edges.filter("l_linestatus = 'O'").select("key", overlap.alias("overlap")))
 
 
 @query("a17_link_table", f"WITH {EDGES}, {LINKS} SELECT * FROM lt")
 def link_table(spark, d):
-    return _links(spark, d).select("key.from_name", "key.from_sign", "key.to_name", "key.to_sign", "status")
+    return _links(_edges(spark, d)).select("key.from_name", "key.from_sign", "key.to_name", "key.to_sign", "status")
 
 
 @query("g07_edge_status", f"""
 WITH {EDGES}, {LINKS}
 SELECT l_orderkey, coalesce(status, 'missing_link') AS status, count(*) AS n FROM ks LEFT JOIN lt USING (from_name, from_sign, to_name, to_sign) GROUP BY 1, 2""")
 def edge_status(spark, d):
-    steps, order = b.order_edges(spark, d)
-    edges = g.edge_status(steps, _links(spark, d), "l_orderkey", order)
-    return edges.groupBy("l_orderkey", "status").agg(F.count(F.lit(1)).alias("n"))
+    edges = materialize(_edges(spark, d).select("l_orderkey", "l_linestatus", "key"), "edges")  # links come from them, too
+    return g.with_link_status(edges, _links(edges)).groupBy("l_orderkey", "status").agg(F.count(F.lit(1)).alias("n"))
 
 
 FRAGMENTS = """
