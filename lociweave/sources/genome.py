@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import keys as k
 from ..operators.interval_join import interval_join
 from ..operators.scan import ordered_scan
+from ..session import materialize
 from .text import numbered_lines, read_headerless, read_table
 
 # Input column names in order.
@@ -133,6 +134,7 @@ def read_fasta(spark: SparkSession, path: str, full_header: bool = False) -> Dat
 def extract_intervals(chunks: DataFrame, intervals: DataFrame) -> DataFrame:
     """Sequence of each interval (name, fid, lo, hi) from sequence chunks (name, start0, end0, bases)."""
     c = F.col
+    intervals = materialize(intervals, "wanted")  # joined with the chunks and with what was found
     pairs = interval_join(intervals, chunks, ["name"], ("lo", "hi"), ("start0", "end0"))
     left = F.greatest(c("lo"), c("start0"))
     piece = F.substr(
