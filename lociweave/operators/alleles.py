@@ -141,6 +141,11 @@ def _copies(single: DataFrame, rules: AlleleRules) -> DataFrame:
     )
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows by key in as many tasks as shuffles have: few bytes are much work here, so tasks are not joined up by their bytes."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def similar_pairs(sequences: DataFrame, rules: AlleleRules = AlleleRules()) -> DataFrame:
     """p, q (p < q), similarity, ratio: all pairs of distinct sequences of a band whose lengths are close enough.
 
@@ -161,7 +166,7 @@ def _aligned(pairs: DataFrame, sequences: DataFrame, rules: AlleleRules) -> Data
     """`pairs` (locus_id, band, p, q, ...) with their similarity."""
     key, texts = ["locus_id", "band"], sequences.select("locus_id", "band", "seq_key", "seq")
     both = pairs.join(texts.withColumnsRenamed({"seq_key": "p", "seq": "__a"}), [*key, "p"]).join(texts.withColumnsRenamed({"seq_key": "q", "seq": "__b"}), [*key, "q"])
-    spread = both.repartition(*key, "p", "q")
+    spread = _spread(both, *key, "p", "q")
     return spread.withColumn("similarity", identity_udf(rules)("__a", "__b")).select(*pairs.columns, "similarity")
 
 
@@ -180,7 +185,7 @@ def _mixed(mixed: DataFrame, sequences: DataFrame, sizes: DataFrame, rules: Alle
         *key, "seq_key", F.lit(None).cast("string").alias("q"), F.lit(None).cast("double").alias("similarity"),
         F.lit(None).cast("double").alias("ratio"), F.lit(1).alias("o0"), "o1", "o2", "o3", "fid",
     )
-    rows = head.unionByName(body).repartition(*key).sortWithinPartitions(*key, *order)
+    rows = _spread(head.unionByName(body), *key).sortWithinPartitions(*key, *order)
 
     def run(group: tuple, frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state = _Clusters(rules)
