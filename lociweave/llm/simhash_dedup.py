@@ -90,18 +90,21 @@ def with_keys(rows: DataFrame, parts: int, bits: int, offset: Column, name: str
 
 
 def shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose keys occur at least twice, with `n`, how often. The count is combined before it is shuffled."""
+    """Rows whose keys occur at least twice, with `n`, how often. The count is combined before it is shuffled.
+
+    Spark sizes rows after an explode as if each were still one, so it is told to shuffle both sides.
+    """
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return rows.join(counts, keys)
+    return rows.join(counts.hint("merge"), keys)
 
 
 def _joined(members: DataFrame, keys: list[str], k: int) -> DataFrame:
-    """Links among the few holders of each key."""
+    """Links among the few holders of each key. Files of sorted keys are many times smaller than their rows, so no side is broadcast."""
     bit = F.when(F.col("bit").isNull(), 0).otherwise(F.call_function("shiftrightunsigned", F.col("fp"), F.col("bit")).bitwiseAND(F.lit(1)))
     side = members.select(*keys, "bit", "fp", bit.alias("side"))
     left = side.filter("bit is null or side = 0").select(*keys, F.col("fp").alias("a"))
     right = side.filter("bit is null or side = 1").select(*keys, F.col("fp").alias("b"), F.col("bit").isNull().alias("whole"))
-    return left.join(right, keys).filter((~F.col("whole") | (F.col("a") < F.col("b"))) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= k)).select("a", "b")
+    return left.join(right.hint("merge"), keys).filter((~F.col("whole") | (F.col("a") < F.col("b"))) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= k)).select("a", "b")
 
 
 def forest(values: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,10 +154,10 @@ def near_duplicates(docs: DataFrame, k: int = 3, width: int = 3, key: str = "doc
     marks = stored(fingerprints(docs, width, key, text), "simhash-marks")
     nodes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-nodes")
     linked = stored(components(near_links(nodes, k), "a", "b"), "simhash-roots")
-    rooted = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = nodes.join(linked.withColumnRenamed("node", "fp").hint("merge"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stored(rooted.join(least, "root").select("fp", "root", "component_id"), "simhash-named")
-    return marks.join(named, "fp").select("doc_id", "fp", "component_id", "root")
+    return marks.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def representatives(docs: DataFrame, k: int = 3, width: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:

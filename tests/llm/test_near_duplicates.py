@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 from llm_helpers import awkward, empty, frame, prose
+from pyspark.sql import functions as F
 
 from lociweave.llm import line_dedup, simhash_dedup
 from lociweave.llm.components import components
@@ -277,3 +278,11 @@ def test_recall_on_documents(spark):
         shares.append((sum(root[i] == root[j] for i, j in pairs), len(pairs)))
     print("recall", shares)
     assert shares[0] == shares[1] and shares[0][0] >= 0.9 * shares[0][1] > 0
+
+
+def test_rows_after_an_explode_are_not_broadcast(spark):
+    """Spark sizes them as before the explode: two million keys would count as a small table and go through the driver."""
+    keyed = simhash_dedup.with_keys(spark.range(100).select(F.xxhash64("id").alias("fp")), 2, 32, F.lit(0))
+    few = keyed.withColumn("n", F.lit(2))
+    for rows in (simhash_dedup.shared(keyed, ["key"]), simhash_dedup._joined(few, ["key"], 3)):
+        assert "Broadcast" not in rows._jdf.queryExecution().executedPlan().toString()
